@@ -203,8 +203,9 @@ def q_write_table(spark, sf):
 @_register("verify_persisted", "SELECT count(*) AS rows_written, count(*) AS rows_read, true AS matches FROM orders")
 def q_verify_persisted(spark, sf):
     path = scratch_path(spark, "orders-verify")
-    n = io.write_table(_t(spark, sf, "orders"), path)
-    return io.verify_persisted(spark, path, n)
+    orders = _t(spark, sf, "orders")
+    io.write_table(orders, path)
+    return io.verify_persisted(spark, path, orders)
 
 
 _LI_TYPES = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
@@ -578,7 +579,7 @@ p AS (SELECT a.rep AS id_a, b.rep AS id_b, len(list_intersect(a.bits, b.bits)) A
 SELECT id_a, id_b, x / (na + nb - x) AS similarity FROM p WHERE x / (na + nb - x) >= {d(JOIN_THRESHOLD)}""")
 def q_similarity_join(spark, sf):
     f = _doc_fp(spark, sf, JOIN_BITS)
-    return si.similarity_join(f, "doc_id", "bits", JOIN_BITS, JOIN_THRESHOLD)
+    return si.similarity_join(f, "doc_id", "bits", JOIN_THRESHOLD)
 
 
 @_register("copy_groups", f"""WITH f AS {_doc_fp_sql()},

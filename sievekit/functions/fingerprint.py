@@ -34,13 +34,21 @@ def bit_of(s: Column, n_bits: int, hash_fn: str = "md5") -> Column:
     return F.pmod(h, F.lit(n_bits)).cast("int")
 
 
-def _environment_bit(t: Column, k: int, n_bits: int, hash_fn: str):
-    """One-argument lambda (``transform`` passes the index to two-argument
-    ones): centre position -> bit of the radius-``k`` window around it."""
-    def f(i):
-        window = F.array_join(F.slice(t, i - k, 2 * k + 1), " ")
-        return bit_of(F.concat(F.lit(f"{k}:"), window), n_bits, hash_fn)
-    return f
+def windows(t: Column, k: int) -> Column:
+    """Strings of every radius-``k`` window (``2k+1`` consecutive tokens,
+    joined by a blank) that fits inside the token array, in order.
+
+    Built from ``2k+1`` shifted slices zipped together, so no lambda looks
+    the token array up per element: the cost stays linear in the tokens
+    even if Catalyst inlines the token expression."""
+    if k == 0:
+        return t
+    n = F.size(t)
+    m = n - 2 * k
+    width = 2 * k + 1
+    zipped = F.arrays_zip(*[F.slice(t, F.lit(j + 1), m) for j in range(width)])
+    joined = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[str(j)] for j in range(width)]))
+    return F.when(n >= width, joined).otherwise(F.array().cast("array<string>"))
 
 
 def hashed_fingerprint(toks, radius: int = 2, n_bits: int = 2048,
@@ -48,22 +56,32 @@ def hashed_fingerprint(toks, radius: int = 2, n_bits: int = 2048,
     """Set-bit positions of the circular token fingerprint.
 
     Null tokens give null; an empty token array gives an empty array.
-    Pass a column *reference* (tokens materialised by an earlier
-    projection, as ``with_fingerprint`` does): lambdas re-evaluate an
-    inline expression for every element."""
+    Filters on the result are pushed below the projection by Catalyst and
+    recompute it: checkpoint or write fingerprints that are filtered or
+    read more than once."""
     if radius < 0 or n_bits <= 0:
         raise ValueError("radius must be >= 0 and n_bits > 0")
     t = _c(toks)
-    n = F.size(t)
-    per_radius = []
-    for k in range(radius + 1):
-        centres = F.when(n >= 2 * k + 1, F.sequence(F.lit(1 + k), n - k)) \
-                   .otherwise(F.array().cast("array<int>"))
-        per_radius.append(F.transform(centres, _environment_bit(t, k, n_bits, hash_fn)))
+    per_radius = [F.transform(windows(t, k), _hash_with_radius(k, n_bits, hash_fn))
+                  for k in range(radius + 1)]
     bits = F.array_sort(F.array_distinct(F.flatten(F.array(*per_radius))))
     return F.when(t.isNull(), F.lit(None).cast("array<int>")).otherwise(bits)
 
 
+def _hash_with_radius(k: int, n_bits: int, hash_fn: str):
+    # one-argument lambda: ``transform`` passes the index to two-argument ones
+    return lambda w: bit_of(F.concat(F.lit(f"{k}:"), w), n_bits, hash_fn)
+
+
+def explode_bits(bits) -> Column:
+    """``explode_outer`` of a bit array; filter the output column for null.
+
+    Plain ``explode`` makes Catalyst infer ``size(bits) > 0`` and push it
+    below projections and repartitions, which re-evaluates an expensive
+    fingerprint expression where the filter lands (possibly one task)."""
+    return F.explode_outer(_c(bits))
+
+
 def sign_bits(vec) -> Column:
     """Positions (0-based) of the strictly positive entries of a numeric
     array: a dense embedding turned into a set-bit fingerprint."""
@@ -138,12 +156,15 @@ def similarity(a, b, method: str = "tanimoto") -> Column:
 
 
 def with_fingerprint(df, text_col: str, out: str = "bits", radius: int = 2, n_bits: int = 2048,
-                     hash_fn: str = "md5", pattern: str | None = None, keep_tokens: bool = False):
+                     hash_fn: str = "md5", pattern: str | None = None, keep_tokens: bool = False,
+                     parallelize: bool = True):
     """Add ``out``: tokens are projected once into a column, then hashed.
-    Spark will not inline the tokens back into the lambdas because the
-    reference is used more than once."""
+    With ``parallelize`` a frame with fewer partitions than cores is spread
+    first (hashing is CPU-bound)."""
+    from ..session import spread
     from .tokens import tokens
     tmp = "_tokens" if not keep_tokens else "tokens"
-    x = df.withColumn(tmp, tokens(text_col, pattern))
+    x = spread(df) if parallelize else df
+    x = x.withColumn(tmp, tokens(text_col, pattern))
     x = x.withColumn(out, hashed_fingerprint(F.col(tmp), radius, n_bits, hash_fn))
     return x if keep_tokens else x.drop(tmp)

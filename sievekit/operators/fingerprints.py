@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fingerprint import token_matches, with_fingerprint
+from ..functions.fingerprint import explode_bits, token_matches, with_fingerprint
 from ..functions.tokens import tokens
+from ..session import cut_lineage, spread
 from .rules import rule_flags, string_descriptors
 
 # Largest bit space whose per-bit table is broadcast (rows = n_bits).
@@ -27,16 +28,18 @@ def add_fingerprint(df: DataFrame, text_col: str, out: str = "bits", radius: int
 def fingerprint_density(df: DataFrame, bits_col: str, n_bits: int) -> DataFrame:
     """Rows, mean set bits per row and sparsity ``1 - mean/n_bits`` over
     the whole table (null fingerprints skipped)."""
-    on = F.size(F.col(bits_col))
-    s = df.filter(F.col(bits_col).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.avg(on).alias("mean_on_bits"))
+    b = F.col(bits_col)
+    # conditional aggregates, not a filter: a filter on the bits would be
+    # pushed below the projection that computes them
+    s = df.agg(F.count(b).alias("n_rows"),
+               F.avg(F.when(b.isNotNull(), F.size(b))).alias("mean_on_bits"))
     return s.withColumn("sparsity", F.lit(1.0) - F.col("mean_on_bits") / F.lit(float(n_bits)))
 
 
 def _bit_counts(df: DataFrame, bits_col: str) -> DataFrame:
     """Rows per set bit.  Partial aggregation caps the shuffle at
     ``n_bits`` rows per map task."""
-    return (df.select(F.explode(F.col(bits_col)).alias("bit"))
+    return (df.select(explode_bits(bits_col).alias("bit")).filter(F.col("bit").isNotNull())
             .groupBy("bit").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -49,12 +52,15 @@ def bit_usage(df: DataFrame, bits_col: str, n_bits: int) -> DataFrame:
 
 
 def rarity_score(df: DataFrame, id_col: str, bits_col: str, n_bits: int,
-                 out: str = "rarity", digits: int = 6) -> DataFrame:
+                 out: str = "rarity", digits: int = 6, materialize: bool = True) -> DataFrame:
     """Fragment-rarity score on a 1..10 scale: the row mean of
     ``ln(N / df(bit))`` over its set bits (N rows with a fingerprint,
     df(bit) rows having the bit), min-max scaled over the table.  Rows
     without bits get null.  (Idea after Ertl and Schuffenhauer, 2009.)"""
-    have = df.filter(F.col(bits_col).isNotNull())
+    base = df.select(id_col, bits_col)
+    if materialize:  # read three times below; fingerprinting is not cheap
+        base = cut_lineage(base)
+    have = base.filter(F.col(bits_col).isNotNull())
     n_rows = have.select(F.count(F.lit(1)).cast("double")).scalar()
     exploded = have.select(F.col(id_col), F.explode(F.col(bits_col)).alias("bit"))
     counts = _bit_counts(have, bits_col).withColumnRenamed("n_rows", "df")
@@ -66,7 +72,7 @@ def rarity_score(df: DataFrame, id_col: str, bits_col: str, n_bits: int,
                 .select(F.struct("lo", "hi")).scalar()
     lo, hi = mm.getField("lo"), mm.getField("hi")
     scaled = F.when(hi == lo, F.lit(1.0)).otherwise(F.lit(1.0) + F.lit(9.0) * (F.col("_m") - lo) / (hi - lo))
-    return (df.select(id_col).join(per_row, id_col, "left")
+    return (base.select(id_col).join(per_row, id_col, "left")
             .select(id_col, F.round(scaled, digits).alias(out)))
 
 
@@ -79,6 +85,7 @@ def pattern_search(df: DataFrame, id_col: str, text_col: str,
     Patterns are a parameter list compiled into the projection: no join,
     no shuffle, each row is scanned once per pattern."""
     toks = tokens(text_col, token_pattern)
+    df = spread(df)
     found = F.array(*[F.struct(F.lit(i).alias("pattern_id"), token_matches(F.col("_t"), list(p)).alias("matches"))
                       for i, p in enumerate(patterns)])
     return (df.select(F.col(id_col), toks.alias("_t"))
@@ -126,7 +133,7 @@ def batch_featurize(df: DataFrame, text_col: str,
                 rows.append(r)
             return pd.DataFrame(rows, columns=fields + [error_col])
 
-    with_struct = df.withColumn("_desc", _run(F.col(text_col)))
+    with_struct = spread(df).withColumn("_desc", _run(F.col(text_col)))
     return with_struct.select(*df.columns,
                               *[F.col(f"_desc.{f}").alias(f"{prefix}{f}") for f in fields],
                               F.col(f"_desc.{error_col}").alias(error_col))

@@ -61,5 +61,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the frame has fewer partitions than
+    the cluster has cores, before CPU-heavy per-row work (tokenising,
+    hashing).  Large inputs already have many splits and pass through
+    unchanged; a small file with one row group is spread over all cores.
+    Round-robin with the default local sort is deterministic on retry."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

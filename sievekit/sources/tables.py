@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,15 +49,14 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
 
 def write_table(df: DataFrame, target: str, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), fmt: str = "parquet",
-                as_table: bool | None = None) -> int:
-    """Write once (``overwrite`` or ``append``) and return the number of rows
-    written, counted by an ``Observation`` on the same pass.  ``target`` is
-    a path if it contains '/', else a catalog table name."""
+                as_table: bool | None = None) -> str:
+    """Write once (``overwrite`` or ``append``) and return the target.
+    ``target`` is a path if it contains '/', else a catalog table name.
+    (Row counts come from ``verify_persisted``: in Spark 4.1 an
+    ``Observation`` on the session breaks later ML transforms.)"""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
-    obs = Observation()
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.mode(mode).format(fmt)
+    w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if as_table if as_table is not None else "/" not in target:
@@ -66,18 +65,19 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite",
         w.saveAsTable(target)
     else:
         w.save(target)
-    return int(obs.get["rows"])
+    return target
 
 
-def verify_persisted(spark: SparkSession, target: str, written_rows: int,
+def verify_persisted(spark: SparkSession, target: str, source: DataFrame,
                      fmt: str = "parquet") -> DataFrame:
-    """One row: rows written, rows read back, and whether they agree.
-    The read-back count uses Parquet footers only (no data pages)."""
+    """One row: rows in the source, rows read back from the target, and
+    whether they agree.  Both are aggregate-only scans (the read-back count
+    is answered from Parquet footers)."""
     back = read_table(spark, target, fmt)
+    n_src = source.select(F.count(F.lit(1))).scalar()
     return back.agg(F.count(F.lit(1)).alias("rows_read")).select(
-        F.lit(written_rows).cast("bigint").alias("rows_written"),
-        F.col("rows_read"),
-        (F.col("rows_read") == F.lit(written_rows)).alias("matches"))
+        n_src.alias("rows_written"), F.col("rows_read"),
+        (F.col("rows_read") == n_src).alias("matches"))
 
 
 def use_namespace(spark: SparkSession, database: str, location: str | None = None) -> str:
