@@ -733,7 +733,9 @@ def q_param_search(spark, sf):
     x = _train_frame(spark, sf).select("doc_id", "split", "features", "label")
 
     def build(p):
-        return RandomForestClassifier(seed=42, **p)
+        # larger node batches per pass and cached node ids: fewer passes
+        # over the data for deep trees
+        return RandomForestClassifier(seed=42, maxMemoryInMB=1024, cacheNodeIds=True, **p)
     _, trials = tr.param_search(x.filter(F.col("split") == "train"), x.filter(F.col("split") == "val"),
                                 build, SEARCH_SPACE, n_trials=20, seed=42, parallelism=4)
     return trials
