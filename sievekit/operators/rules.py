@@ -87,7 +87,9 @@ def compare(c, op: str, limit) -> Column:
 
 
 def clip(x: Column, lo, hi) -> Column:
-    return F.least(F.greatest(x, F.lit(lo)), F.lit(hi))
+    """Clamp to [lo, hi]; null stays null (``greatest``/``least`` alone
+    would skip the null and return a bound)."""
+    return F.when(x.isNull(), F.lit(None)).otherwise(F.least(F.greatest(x, F.lit(lo)), F.lit(hi)))
 
 
 def rule_flags(df: DataFrame, rules: Sequence[tuple[str, Column]] | None = None,

@@ -55,7 +55,7 @@ def _count(col: str, sub: str) -> str:
 
 
 def _clip(x: str, lo, hi) -> str:
-    return f"least(greatest({x}, {d(lo)}), {d(hi)})"
+    return f"CASE WHEN ({x}) IS NULL THEN NULL ELSE least(greatest({x}, {d(lo)}), {d(hi)}) END"
 
 
 def descriptors_sql(col: str, prefix: str = "") -> str:
