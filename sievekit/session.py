@@ -67,6 +67,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     hashing).  Large inputs already have many splits and pass through
     unchanged; a small file with one row group is spread over all cores.
     Round-robin with the default local sort is deterministic on retry."""
+    if df.isStreaming:  # micro-batches are sized by the source options
+        return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
