@@ -68,9 +68,9 @@ def rarity_score(df: DataFrame, id_col: str, bits_col: str, n_bits: int,
     side = F.broadcast(counts) if n_bits <= MAX_BROADCAST_BITS else counts
     per_row = (exploded.join(side, "bit")
                .groupBy(id_col).agg(F.avg(F.log(n_rows / F.col("df"))).alias("_m")))
-    mm = per_row.agg(F.min("_m").alias("lo"), F.max("_m").alias("hi")) \
-                .select(F.struct("lo", "hi")).scalar()
-    lo, hi = mm.getField("lo"), mm.getField("hi")
+    per_row = cut_lineage(per_row) if materialize else per_row
+    mm = per_row.agg(F.min("_m").alias("lo"), F.max("_m").alias("hi")).first()  # two numbers
+    lo, hi = F.lit(mm["lo"]).cast("double"), F.lit(mm["hi"]).cast("double")
     scaled = F.when(hi == lo, F.lit(1.0)).otherwise(F.lit(1.0) + F.lit(9.0) * (F.col("_m") - lo) / (hi - lo))
     return (base.select(id_col).join(per_row, id_col, "left")
             .select(id_col, F.round(scaled, digits).alias(out)))

@@ -1,8 +1,8 @@
 """Aggregation and profiling.  One aggregate pass per report; results in
 long form ``(column_name, stat...)`` so reports over hundreds of columns
-stay narrow.  Scalars that later expressions need (min/max for histogram
-edges, totals for shares) are scalar subqueries, evaluated once by Spark
-and inlined, never joined and never pulled through Python."""
+stay narrow.  A scalar used once (a share denominator) is a scalar
+subquery; scalars used in several expressions (histogram edges) are
+fetched once as a one-row aggregate, never joined."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.quantiles import exact_quantiles_many
+
 QUANTILES = (0.25, 0.5, 0.75)
 
 
@@ -32,27 +34,35 @@ def describe_full(df: DataFrame, cols: Sequence[str] | None = None, exact: bool
     """count, mean, sample std, min, 25/50/75 % (linear interpolation),
     max per numeric column.
 
-    ``exact=True`` uses ``percentile`` (keeps a value->count map per column;
-    fine where the number of distinct values is moderate).  ``exact=False``
-    uses ``percentile_approx`` with bounded memory for very large inputs."""
+    ``exact=True``: quantiles from ``plans.quantiles.exact_quantiles``
+    (distributed counts per distinct value and bucketed running totals; a
+    few jobs per column, nothing unbounded in one task).  ``exact=False``:
+    ``percentile_approx`` in the same single aggregate pass."""
     cols = list(cols or numeric_columns(df))
     aggs = []
     for c in cols:
         x = _num(df, c)
-        q = (F.percentile(x, list(QUANTILES)) if exact
-             else F.percentile_approx(x, list(QUANTILES), accuracy))
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
+                 F.max(x).alias(f"{c}__max")]
+        if not exact:
+            aggs.append(F.percentile_approx(x, list(QUANTILES), accuracy).alias(f"{c}__q"))
     wide = df.agg(*aggs)
+
+    def q(c, i):
+        if not exact:
+            return F.col(f"{c}__q")[i].cast("double")
+        return F.lit(quants[c][i]).cast("double")
+
+    quants = exact_quantiles_many(df, {c: _num(df, c) for c in cols}, QUANTILES) if exact else {}
     rows = [F.struct(F.lit(c).alias("column_name"),
                      F.col(f"{c}__count").cast("bigint").alias("count"),
                      F.round(F.col(f"{c}__mean"), digits).alias("mean"),
                      F.round(F.col(f"{c}__std"), digits).alias("std"),
                      F.col(f"{c}__min").alias("min"),
-                     F.round(F.col(f"{c}__q")[0], digits).alias("p25"),
-                     F.round(F.col(f"{c}__q")[1], digits).alias("p50"),
-                     F.round(F.col(f"{c}__q")[2], digits).alias("p75"),
+                     F.round(q(c, 0), digits).alias("p25"),
+                     F.round(q(c, 1), digits).alias("p50"),
+                     F.round(q(c, 2), digits).alias("p75"),
                      F.col(f"{c}__max").alias("max")) for c in cols]
     return wide.select(F.inline(F.array(*rows)))
 
@@ -102,27 +112,28 @@ def count_where(df: DataFrame, conds: Mapping[str, Column]) -> DataFrame:
 
 
 def mean_median(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    aggs = []
-    for c in cols:
-        x = _num(df, c)
-        aggs += [F.avg(x).alias(f"{c}__mean"), F.median(x).alias(f"{c}__median")]
-    wide = df.agg(*aggs)
+    """Mean and exact median per column (median via ``exact_quantiles``)."""
+    wide = df.agg(*[F.avg(_num(df, c)).alias(f"{c}__mean") for c in cols])
+    med = {c: v[0] for c, v in exact_quantiles_many(df, {c: _num(df, c) for c in cols}, [0.5]).items()}
     rows = [F.struct(F.lit(c).alias("column_name"),
                      F.round(F.col(f"{c}__mean"), digits).alias("mean"),
-                     F.round(F.col(f"{c}__median"), digits).alias("median")) for c in cols]
+                     F.round(F.lit(med[c]).cast("double"), digits).alias("median")) for c in cols]
     return wide.select(F.inline(F.array(*rows)))
 
 
-def histogram_edges(df: DataFrame, col: str) -> Column:
-    """Scalar-subquery struct ``(lo, hi)``: min and max, widened by 0.5 on
-    each side when they are equal (numpy's rule)."""
+def histogram_edges(df: DataFrame, col: str) -> tuple[Column, Column]:
+    """``(lo, hi)`` literals: min and max (one aggregate job, two numbers to
+    the driver), widened by 0.5 on each side when equal (numpy's rule).
+    Literals rather than scalar subqueries: the edges appear in several
+    expressions and each subquery occurrence may rescan the input."""
     x = _num(df, col)
-    s = df.agg(F.min(x).alias("lo0"), F.max(x).alias("hi0"))
-    s = s.select(F.struct(
-        F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
-        F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"),
-    ))
-    return s.scalar()
+    r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    lo, hi = r["lo"], r["hi"]
+    if lo is None:
+        lo, hi = 0.0, 1.0
+    elif lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    return F.lit(float(lo)), F.lit(float(hi))
 
 
 def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
@@ -133,8 +144,7 @@ def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram from min to max, empty bins included:
     ``(bin, bin_lo, bin_hi, count)``."""
-    edges = histogram_edges(df, col)
-    lo, hi = edges.getField("lo"), edges.getField("hi")
+    lo, hi = histogram_edges(df, col)
     x = _num(df, col)
     counts = (df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
               .groupBy(bin_index(F.col("_x"), lo, hi, bins).alias("bin"))
@@ -151,8 +161,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 def histogram_by_group(df: DataFrame, col: str, group_col: str, bins: int = 30) -> DataFrame:
     """Counts per (group, bin) on edges computed from all rows; cells with
     no rows are omitted."""
-    edges = histogram_edges(df, col)
-    lo, hi = edges.getField("lo"), edges.getField("hi")
+    lo, hi = histogram_edges(df, col)
     x = _num(df, col)
     return (df.select(F.col(group_col), x.alias("_x")).filter(F.col("_x").isNotNull())
             .groupBy(group_col, bin_index(F.col("_x"), lo, hi, bins).alias("bin"))

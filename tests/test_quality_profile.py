@@ -56,3 +56,16 @@ def test_correlation_pairs(spark):
     df = spark.createDataFrame([(float(i), 2.0 * i, -float(i)) for i in range(5)], "a double, b double, c double")
     out = {(r["col_a"], r["col_b"]): r["r"] for r in pr.correlation_matrix(df, ["a", "b", "c"]).collect()}
     assert out == {("a", "b"): 1.0, ("a", "c"): -1.0, ("b", "c"): -1.0}
+
+
+def test_exact_quantiles_bucketed_path_matches_numpy(spark):
+    import numpy as np
+    from sievekit.plans.quantiles import exact_quantiles, exact_quantiles_many
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([rng.normal(size=400), np.full(300, 1.5)])   # one value holds 3/7 of rows
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    want = list(np.quantile(vals, [0.1, 0.25, 0.5, 0.9]))
+    got = exact_quantiles(df, df["x"], [0.1, 0.25, 0.5, 0.9], rows_per_bucket=50)
+    assert np.allclose(got, want, rtol=0, atol=1e-12)
+    many = exact_quantiles_many(df, {"a": df["x"], "b": df["x"] * 2}, [0.5], rows_per_bucket=50)
+    assert abs(many["a"][0] - np.median(vals)) < 1e-12 and abs(many["b"][0] - 2 * np.median(vals)) < 1e-12
