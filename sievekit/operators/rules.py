@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import char_count
+from ..session import spread
 
 # Default rule-of-five upper limits (violation when the value
 # is strictly above the limit) and the number of violations still passing.
@@ -186,7 +187,9 @@ def string_descriptors(df: DataFrame, text_col: str, prefix: str = "") -> DataFr
     """Eight numeric properties from character counts of a string (the
     generator's property rules without their noise terms), in one
     projection.  Counts are case-sensitive; integer properties truncate
-    toward zero.  Null text gives nulls."""
+    toward zero.  Null text gives nulls.  Long texts make this CPU-bound,
+    so a frame with fewer partitions than cores is spread first."""
+    df = spread(df)
     s = F.col(text_col)
     L = F.length(s)
     C = char_count(s, "C") + char_count(s, "c")

@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -55,10 +56,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` as Parquet under the shared checkpoint folder and
+    read it back: the lineage is cut (a lost executor re-reads files instead
+    of recomputing upstream stages), the data is written in one pass (an
+    eager ``checkpoint()`` of an unpersisted frame computes it twice), and
+    the files carry statistics that AQE uses for join planning."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -66,11 +73,19 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the cluster has cores, before CPU-heavy per-row work (tokenising,
     hashing).  Large inputs already have many splits and pass through
     unchanged; a small file with one row group is spread over all cores.
-    Round-robin with the default local sort is deterministic on retry."""
+
+    The spread rows are persisted (memory and disk).  That bounds nothing
+    large (the frame had fewer splits than cores) and makes the result a
+    leaf for the optimizer: filters on columns computed later cannot be
+    pushed below the repartition into the single scan task, where they
+    would recompute the expensive expressions serially.  Round-robin with
+    the default local sort is deterministic on retry."""
     if df.isStreaming:  # micro-batches are sized by the source options
         return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def table_path(sf_dir: str, name: str) -> str:
