@@ -28,7 +28,7 @@ from sievekit.operators import similarity as si
 from sievekit.operators import train as tr
 from sievekit.plans.sqlgen import (d, descriptors_sql, fingerprint_sql, linear_score_sql,
                                    split_sql, tokens_sql, unit_hash_sql, weighted_score_sql)
-from sievekit.session import ensure_checkpoint_dir, scratch_path
+from sievekit.session import cut_lineage, ensure_checkpoint_dir, scratch_path
 from sievekit.sources import tables as io
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -677,7 +677,9 @@ def _train_frame(spark, sf):
     lab = _t(spark, sf, "labels").select("doc_id", "toxic")
     feats = fpo.feature_batch(_t(spark, sf, "documents").join(lab, "doc_id"), "text", FP_RADIUS, FP_BITS)
     feats = fr.hash_split(feats, "doc_id")
-    return tr.assemble_features(feats, [f"calc_{p}" for p in DESCRIPTORS], "morgan_fp", FP_BITS, "toxic")
+    x = tr.assemble_features(feats, [f"calc_{p}" for p in DESCRIPTORS], "morgan_fp", FP_BITS, "toxic")
+    # the feature table is read by fitting, scoring and evaluation: write it once
+    return cut_lineage(x.select("doc_id", "split", "features", "label"), "features")
 
 
 @_register("assemble_features")

@@ -65,10 +65,12 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # small outputs come back as one packed split; spread them over the
+    # cores (a file-sourced shuffle, nothing recomputed)
+    return spread(spark.read.parquet(path), persist=False)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, persist: bool = True) -> DataFrame:
     """Round-robin repartition only when the frame has fewer partitions than
     the cluster has cores, before CPU-heavy per-row work (tokenising,
     hashing).  Large inputs already have many splits and pass through
@@ -85,7 +87,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.repartition(want)
+    return out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
 
 
 def table_path(sf_dir: str, name: str) -> str:
