@@ -733,13 +733,15 @@ SEARCH_SPACE = {"numTrees": [50, 100, 150, 200], "maxDepth": [10, 15, 20, 25, 30
 def q_param_search(spark, sf):
     from pyspark.ml.classification import RandomForestClassifier
     x = _train_frame(spark, sf).select("doc_id", "split", "features", "label")
+    parallel = 4
+    budget = tr.tree_memory_mb(spark, concurrent_fits=parallel)
 
     def build(p):
-        # larger node batches per pass and cached node ids: fewer passes
-        # over the data for deep trees
-        return RandomForestClassifier(seed=42, maxMemoryInMB=1024, cacheNodeIds=True, **p)
+        # node batches sized from the heap shared by the concurrent fits,
+        # cached node ids: fewer passes over the data for deep trees
+        return RandomForestClassifier(seed=42, maxMemoryInMB=budget, cacheNodeIds=True, **p)
     _, trials = tr.param_search(x.filter(F.col("split") == "train"), x.filter(F.col("split") == "val"),
-                                build, SEARCH_SPACE, n_trials=20, seed=42, parallelism=4)
+                                build, SEARCH_SPACE, n_trials=20, seed=42, parallelism=parallel)
     return trials
 
 
