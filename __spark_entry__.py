@@ -867,8 +867,22 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_Q)
+    return {**_Q, **_LLM[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {**_SQL, **_LLM[1]}
+
+
+def _optional() -> tuple[dict, dict]:
+    """Queries and SQL of the ``llm`` subpackage, which may be absent."""
+    try:
+        from sievekit.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as e:
+        if e.name not in ("sievekit.llm", "sievekit.llm.queries", "corpus_pipeline"):
+            raise
+        return {}, {}
+    return QUERIES, ORACLES
+
+
+_LLM = _optional()
