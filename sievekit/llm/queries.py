@@ -3,7 +3,10 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from .common import read
+from .packing import pack_documents
 from .secrets import secrets_digest
 
 QUERIES, ORACLES = {}, {}
@@ -14,3 +17,10 @@ def op1_secret_scans(spark, sf_dir):
 
 
 QUERIES["op1_secret_scans"] = op1_secret_scans
+
+
+def op6_best_fit_packing(spark, sf_dir):
+    return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES["op6_best_fit_packing"] = op6_best_fit_packing
