@@ -6,6 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from .common import read
+from .decontaminate import contamination_digest
 from .packing import pack_documents
 from .secrets import secrets_digest
 
@@ -24,3 +25,10 @@ def op6_best_fit_packing(spark, sf_dir):
 
 
 QUERIES["op6_best_fit_packing"] = op6_best_fit_packing
+
+
+def op10_benchmark_decontamination(spark, sf_dir):
+    return contamination_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op10_benchmark_decontamination"] = op10_benchmark_decontamination
