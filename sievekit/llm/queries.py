@@ -4,9 +4,11 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from .common import read
+from .common import fold_of, read
 from .decontaminate import contamination_digest
+from .language import learn_languages, predict_languages
 from .packing import pack_documents
 from .secrets import secrets_digest
 
@@ -32,3 +34,13 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 
 QUERIES["op10_benchmark_decontamination"] = op10_benchmark_decontamination
+
+
+def op8_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    learned = learn_languages(docs, where=fold_of(F.col("doc_id"), 3) != 1)
+    rows = docs.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "text")
+    return predict_languages(rows, learned).drop("text")
+
+
+QUERIES["op8_language_id"] = op8_language_id
