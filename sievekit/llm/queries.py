@@ -11,6 +11,7 @@ from .decontaminate import contamination_digest
 from .language import learn_languages, predict_languages
 from .packing import pack_documents
 from .secrets import secrets_digest
+from .toxicity import learn_lexicon, score_toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -44,3 +45,12 @@ def op8_language_id(spark, sf_dir):
 
 
 QUERIES["op8_language_id"] = op8_language_id
+
+
+def op7_toxicity(spark, sf_dir):
+    docs, fold = read(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 4)
+    learned = learn_lexicon(docs, read(spark, sf_dir, "labels"), where=fold != 2)
+    return score_toxicity(docs, learned).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
+
+
+QUERIES["op7_toxicity"] = op7_toxicity
