@@ -10,6 +10,7 @@ from .common import fold_of, read
 from .decontaminate import contamination_digest
 from .language import learn_languages, predict_languages
 from .packing import pack_documents
+from .quality import learn_quality, score_quality
 from .secrets import secrets_digest
 from .toxicity import learn_lexicon, score_toxicity
 
@@ -54,3 +55,17 @@ def op7_toxicity(spark, sf_dir):
 
 
 QUERIES["op7_toxicity"] = op7_toxicity
+
+
+#: Graded ratings from the two labels: 0 poor and toxic, 1 poor, 2 good but toxic, 3 good.
+GRADES = 4
+
+
+def op3_quality_classifier(spark, sf_dir):
+    docs, fold = read(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 4)
+    ratings = read(spark, sf_dir, "labels").withColumn("grade", 2 * F.col("quality") + 1 - F.col("toxic"))
+    learned = learn_quality(docs, ratings, GRADES, where=fold != 2)
+    return score_quality(docs, learned, at_least=2).withColumn("held_out", fold == 2)
+
+
+QUERIES["op3_quality_classifier"] = op3_quality_classifier
