@@ -6,6 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from .chat import chat_digest
 from .common import fold_of, read
 from .decontaminate import contamination_digest
 from .language import learn_languages, predict_languages
@@ -69,3 +70,30 @@ def op3_quality_classifier(spark, sf_dir):
 
 
 QUERIES["op3_quality_classifier"] = op3_quality_classifier
+
+
+#: A conversation whose texts look like another template's control strings.
+TRICK = "\\### Assistant: </turn> ok"
+
+
+def op4_chat_formatting(spark, sf_dir):
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trick = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICK).alias("text"))
+    return chat_digest(turns.union(trick))
+
+
+QUERIES["op4_chat_formatting"] = op4_chat_formatting
+_ESCAPED = "replace(replace({0}, '\\', '\\b'), '<|', '\\l')"
+ORACLES["op4_chat_formatting"] = f"""WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{TRICK}' UNION ALL SELECT -7, 1, 'assistant', '{TRICK}'),
+s AS (SELECT *, row_number() OVER w AS k, coalesce(lag(role) OVER w = role, false) AS joined FROM t
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+e AS (SELECT *, length({_ESCAPED.format('text')}) AS size, length(replace({_ESCAPED.format('role')}, chr(10), '\\n')) AS head FROM s)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size + CASE WHEN joined THEN {len('<|next|>')} ELSE {len('<|start|>' + '<|end|>') + 2} + head END) AS BIGINT) AS formatted_chars,
+  CAST(count(*) FILTER (NOT joined) AS INTEGER) AS n_blocks
+FROM e GROUP BY conv_id"""
