@@ -14,6 +14,7 @@ from .packing import pack_documents
 from .quality import learn_quality, score_quality
 from .secrets import secrets_digest
 from .toxicity import learn_lexicon, score_toxicity
+from .urls import judge_urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -97,3 +98,13 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(size + CASE WHEN joined THEN {len('<|next|>')} ELSE {len('<|start|>' + '<|end|>') + 2} + head END) AS BIGINT) AS formatted_chars,
   CAST(count(*) FILTER (NOT joined) AS INTEGER) AS n_blocks
 FROM e GROUP BY conv_id"""
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op5_url_filters(spark, sf_dir):
+    return judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+QUERIES["op5_url_filters"] = op5_url_filters
