@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .chat import chat_digest
 from .common import fold_of, read
 from .decontaminate import contamination_digest
+from .fingerprints import fingerprint_digest
 from .language import learn_languages, predict_languages
 from .packing import pack_documents
 from .quality import learn_quality, score_quality
@@ -108,3 +109,10 @@ def op5_url_filters(spark, sf_dir):
 
 
 QUERIES["op5_url_filters"] = op5_url_filters
+
+
+def op9_document_fingerprints(spark, sf_dir):
+    return fingerprint_digest(read(spark, sf_dir, "documents"))
+
+
+QUERIES["op9_document_fingerprints"] = op9_document_fingerprints
