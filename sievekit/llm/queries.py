@@ -11,6 +11,7 @@ from .common import fold_of, read
 from .decontaminate import contamination_digest
 from .fingerprints import fingerprint_digest
 from .language import learn_languages, predict_languages
+from .ngram_join import ngram_join
 from .packing import pack_documents
 from .quality import learn_quality, score_quality
 from .secrets import secrets_digest
@@ -116,3 +117,10 @@ def op9_document_fingerprints(spark, sf_dir):
 
 
 QUERIES["op9_document_fingerprints"] = op9_document_fingerprints
+
+
+def op2_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join(read(spark, sf_dir, "documents"))
+
+
+QUERIES["op2_ngram_jaccard_join"] = op2_ngram_jaccard_join
