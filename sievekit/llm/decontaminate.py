@@ -179,6 +179,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     by key and text, so repeated or null keys are judged by their own text."""
     bad = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options).where("n_hit > 0").select(
         F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_text")).distinct()
+    bad = stored(bad, "contaminated")  # its size is then known, and a small one is broadcast
     key = F.xxhash64(F.col(text_col).cast("string")) == F.col("__bad_text")
     return docs.join(bad, key & F.col(id_col).cast("bigint").eqNullSafe(F.col("__bad_id")), "left_anti")
 

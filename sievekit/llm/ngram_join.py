@@ -52,22 +52,25 @@ def node_of(s: np.ndarray) -> int:
 def _first_pass(words: int):
     def run(batches):
         counts = np.zeros(1 << SLOT_BITS, np.int32)
-        for ids, texts in id_text_batches(batches):
-            sets = [shingle_set(t, words) for t in texts]
-            if any(map(len, sets)):
-                counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(counts)).astype(np.int32)
-            nodes = [node_of(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()),
-                                              pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names=_FIRST)
+        for whole in batches:
+            at = 0
+            for ids, texts in id_text_batches([whole]):
+                sets = [shingle_set(t, words) for t in texts]
+                if any(map(len, sets)):
+                    counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(counts)).astype(np.int32)
+                n, nodes = len(sets), [node_of(s) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([ids, whole.column(2).slice(at, n), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()),
+                                                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_FIRST)
+                at += n
         lane, size = TaskContext.get().partitionId() % 64, 1 << CHUNK_BITS
         chunks = [(k, zlib.compress(counts[k * size:(k + 1) * size].astype(np.int64).tobytes(), 1)) for k in range(len(counts) // size)]
         n = len(chunks)
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([c[0] for c in chunks], pa.int32()),
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(n, pa.int64())] * 4, pa.array([c[0] for c in chunks], pa.int32()),
                                           pa.array([lane] * n, pa.int32()), pa.array([c[1] for c in chunks], pa.binary())], names=_FIRST)
     return run
 
 
-_FIRST = ["doc_id", "n", "node", "chunk", "lane", "counts"]
+_FIRST = ["doc_id", "text_key", "n", "node", "chunk", "lane", "counts"]
 
 
 def _summed(chunks: DataFrame, keys: list[str]) -> DataFrame:
@@ -226,8 +229,10 @@ def _rest_pairs(met: DataFrame, percent: int, step: float = 1.02) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles and component_id,
-    the smallest doc_id reachable by links (100 * shared >= percent * united).
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id (the
+    smallest doc_id reachable by links: 100 * shared >= percent * united),
+    component (a number for each component, null without shingles) and text_key
+    (xxhash64 of the text).
 
     A-Z are lower-cased; words end at blanks and at tab to carriage return.
     Null and empty texts and those without a word have no shingles, are linked
@@ -242,9 +247,10 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
     combining and joined by a sort-merge join, whose large partitions Spark
     splits.  All texts are compared whole, without a cap anywhere."""
     spark, texts = docs.sparkSession, id_text(docs, id_col, text_col)
-    first = stored(texts.mapInArrow(_first_pass(words), "doc_id bigint, n bigint, node bigint, chunk int, lane int, counts binary"), "first")
+    first = stored(texts.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+        _first_pass(words), "doc_id bigint, text_key bigint, n bigint, node bigint, chunk int, lane int, counts binary"), "first")
     freq = shingle_frequencies(first)
-    rows = first.where("chunk IS NULL").select("doc_id", "n", "node")
+    rows = first.where("chunk IS NULL").select("doc_id", "text_key", "n", "node")
     nodes = stored(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "nodes")
     copies = spark.sparkContext.broadcast(bit_filter(nodes.where("copies > 1"), "node"))
     table = spark.sparkContext.broadcast(freq.astype(np.int32) if freq.max(initial=0) < 1 << 31 else freq)
@@ -267,6 +273,28 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
     label = connected_components(label.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
     roots = label.join(nodes, "node").groupBy("root").agg(F.min("least").alias("component"))
-    linked = label.join(roots, "root").select("node", "component")
-    smallest = nodes.select("node", "least").join(linked, "node", "left").select("node", F.coalesce("component", "least").alias("component_id"))
-    return rows.join(smallest, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    linked = label.join(roots, "root").select("node", "root", "component")
+    smallest = nodes.select("node", "least").join(linked, "node", "left").select(
+        "node", F.coalesce("component", "least").alias("component_id"), F.coalesce("root", "node").alias("component"))
+    return rows.join(smallest, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                                                      "component", "text_key")
+
+
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component, the one with the smallest key
+    (null keys last, equal ones by a hash of the text); rows without a word all
+    stay.  All columns stay."""
+    found = stored(ngram_join(docs, id_col=id_col, text_col=text_col, **options).where("component IS NOT NULL"), "components")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    best = found.groupBy("component").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("of")).where("of > 1")
+    rest = found.join(best, "component")
+    gone = rest.where(rank != F.col("best")).select("doc_id", "text_key", F.lit(0).alias("again"))
+    again = rest.where(rank == F.col("best")).groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(
+        "doc_id", "text_key", F.lit(1).alias("again"))
+    marks = stored(gone.unionByName(again).distinct().toDF("__id", "__key", "__again"), "gone")
+    same = (F.xxhash64(F.col(text_col).cast("string")) == F.col("__key")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("__id"))
+    left = docs.join(marks.where("__again = 0"), same, "left_anti")
+    if marks.where("__again = 1").isEmpty():
+        return left
+    repeated = left.join(marks.where("__again = 1"), same).drop("__again").dropDuplicates(["__id", "__key"]).select(*docs.columns)
+    return left.join(marks.where("__again = 1"), same, "left_anti").unionByName(repeated)

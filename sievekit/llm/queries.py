@@ -3,6 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from .secrets import secrets_digest
 from .toxicity import learn_lexicon, score_toxicity
 from .urls import judge_urls
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES = {"pipeline": corpus_pipeline.run}, {}
 
 
 def op1_secret_scans(spark, sf_dir):
@@ -120,7 +121,7 @@ QUERIES["op9_document_fingerprints"] = op9_document_fingerprints
 
 
 def op2_ngram_jaccard_join(spark, sf_dir):
-    return ngram_join(read(spark, sf_dir, "documents"))
+    return ngram_join(read(spark, sf_dir, "documents")).drop("component", "text_key")
 
 
 QUERIES["op2_ngram_jaccard_join"] = op2_ngram_jaccard_join

@@ -203,9 +203,10 @@ def calibrated(lexicon: Lexicon, rows: DataFrame) -> Lexicon:
             yield pa.RecordBatch.from_arrays([pa.array([v[0] for v in x], pa.float64()), pa.array([v[1] for v in x], pa.float64()),
                                               pa.array([float(v == 1) for v in b.column(1).to_pylist()], pa.float64())], names=["a", "b", "y"])
 
-    got = rows.mapInArrow(run, "a double, b double, y double").orderBy("a", "b", "y").toPandas().to_numpy(float)
+    got = rows.mapInArrow(run, "a double, b double, y double").toPandas().to_numpy(float)
     if not len(got):
         return lexicon
+    got = got[np.lexsort(got.T)]  # sums in one order, whatever order the rows came in
     x, y = np.column_stack([np.ones(len(got)), got[:, :2]]), got[:, 2]
     w, ridge = np.zeros(3), np.diag([1e-3, 0.1, 0.1])
     for _ in range(50):
