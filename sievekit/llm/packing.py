@@ -257,7 +257,7 @@ def evolve_packing(spark, counts: dict[int, int], capacity: int, islands: int =
     least = -(-sum(k * n for k, n in counts.items()) // capacity)
 
     def step(epoch: int):
-        def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             island = int(key[0])
             rng = random.Random(f"{seed}/{island}/{epoch}")
             pool = [_load(s) for s in sorted(rows["state"]) if s]

@@ -78,10 +78,10 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.01, min_confidence: f
 
 def _proper_parts(items: str, longest: int) -> Column:
     """All non-empty proper sub-arrays of a sorted array of ``longest`` items at most."""
+    with_item = lambda out, k: F.transform(out, lambda p: F.concat(p, F.array(F.get(items, F.lit(k)))))
     out = F.array(F.array().cast("array<string>"))
     for k in range(longest):
-        has = F.size(items) > k
-        out = F.when(has, F.concat(out, F.transform(out, lambda p, k=k: F.concat(p, F.array(F.get(items, F.lit(k))))))).otherwise(out)
+        out = F.when(F.size(items) > k, F.concat(out, with_item(out, k))).otherwise(out)
     return F.filter(out, lambda p: (F.size(p) > 0) & (F.size(p) < F.size(items)))
 
 
