@@ -125,3 +125,30 @@ def op2_ngram_jaccard_join(spark, sf_dir):
 
 
 QUERIES["op2_ngram_jaccard_join"] = op2_ngram_jaccard_join
+
+#: A-Z to a-z, and nothing else.
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RUNS = "list_transform(range(1, len(w) - {0} + 2), lambda i: array_to_string(w[i:i + {0} - 1], ' '))"
+
+ORACLES["op2_ngram_jaccard_join"] = f"""WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all(coalesce({_LOWER.format('text')}, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN {_RUNS.format(4)} WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n AS n, count(*) AS c FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM p WHERE 100 * c >= 85 * (n - c)),
+reach AS (SELECT x AS doc_id, y AS other FROM links UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(r.other), s.doc_id)) AS component_id
+FROM s LEFT JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s"""
+
+_WORDS = f"regexp_extract_all(coalesce({_LOWER.format('text')}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLES["op10_benchmark_decontamination"] = f"""WITH
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, unnest({_RUNS.format('n')}) AS g FROM b),
+runs AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos, unnest({_RUNS.format('n')}) AS g FROM d JOIN (SELECT DISTINCT n FROM win) ON n <= len(w)),
+h AS (SELECT r.doc_id, r.pos, r.n, win.item_id FROM runs r JOIN win ON win.n = r.n AND win.g = r.g),
+c AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS k FROM h) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+  sha256(coalesce(i.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id"""
