@@ -18,59 +18,62 @@ from pyspark.sql import functions as F
 
 from .tokens import _c
 
-# Fixed value: the portable hash uses the first 8 hex digits of md5, the
-# only hash that both Spark and DuckDB (the oracle) compute identically.
+# The portable token hash is the first 8 hex digits of md5, the
+# only hash that both Spark and DuckDB (the oracle) compute identically.  A
+# window's hash runs over its tokens' integers by v = (v * factor + h) mod prime;
+# products stay below 2**62.
 MD5_HEX_DIGITS = 8
+FOLDED = (1103515245, 2147483647)
+UNFOLDED = ((1103515245, 1073741789), (69069, 1073741783))
 
 
-def bit_of(s: Column, n_bits: int, hash_fn: str = "md5") -> Column:
-    """Fold a string to a bit position in ``[0, n_bits)``."""
-    if hash_fn == "md5":
-        h = F.conv(F.substring(F.md5(s), 1, MD5_HEX_DIGITS), 16, 10).cast("bigint")
-    elif hash_fn == "xxhash64":
-        h = F.xxhash64(s)
-    else:
-        raise ValueError(f"unknown hash_fn {hash_fn!r}; use 'md5' or 'xxhash64'")
-    return F.pmod(h, F.lit(n_bits)).cast("int")
+def token_hashes(toks) -> Column:
+    """One integer below 2**32 for each token."""
+    return F.transform(_c(toks), lambda t: F.conv(F.substring(F.md5(t), 1, MD5_HEX_DIGITS), 16, 10).cast("bigint"))
 
 
-def windows(t: Column, k: int) -> Column:
-    """Strings of every radius-``k`` window (``2k+1`` consecutive tokens,
-    joined by a blank) that fits inside the token array, in order.
+def _run(h: Column, i: Column, width: int, start: int, factor: int, prime: int) -> Column:
+    v = F.lit(start).cast("bigint")
+    for j in range(width):
+        v = (v * F.lit(factor).cast("bigint") + F.get(h, i + j)) % F.lit(prime).cast("bigint")
+    return v
 
-    Built from ``2k+1`` shifted slices zipped together, so no lambda looks
-    the token array up per element: the cost stays linear in the tokens
-    even if Catalyst inlines the token expression."""
-    if k == 0:
-        return t
-    n = F.size(t)
-    m = n - 2 * k
+
+def _window_hashes(h: Column, k: int, n_bits: int | None) -> Column:
+    """Hashes of every radius-``k`` window of a bound array of token hashes."""
     width = 2 * k + 1
-    zipped = F.arrays_zip(*[F.slice(t, F.lit(j + 1), m) for j in range(width)])
-    joined = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[str(j)] for j in range(width)]))
-    return F.when(n >= width, joined).otherwise(F.array().cast("array<string>"))
+
+    def one(_, i):
+        if n_bits is not None:
+            return F.pmod(_run(h, i, width, k, *FOLDED), F.lit(n_bits).cast("bigint")).cast("int")
+        hi, lo = (_run(h, i, width, k, *fp) for fp in UNFOLDED)
+        return hi * F.lit(1 << 30).cast("bigint") + lo
+
+    kind = "int" if n_bits is not None else "bigint"
+    return F.when(F.size(h) >= width, F.transform(F.slice(h, 1, F.size(h) - 2 * k), one)).otherwise(F.array().cast(f"array<{kind}>"))
 
 
-def hashed_fingerprint(toks, radius: int = 2, n_bits: int = 2048,
-                       hash_fn: str = "md5") -> Column:
-    """Set-bit positions of the circular token fingerprint.
+def hashed_fingerprint(toks, radius: int = 2, n_bits: int | None = 2048) -> Column:
+    """Sorted set-bit positions of the circular token fingerprint; with
+    ``n_bits=None`` the windows' unfolded 60-bit hashes, whose number of
+    distinct values grows with the data (``array<bigint>``).
 
-    Null tokens give null; an empty token array gives an empty array.
-    Filters on the result are pushed below the projection by Catalyst and
-    recompute it: checkpoint or write fingerprints that are filtered or
-    read more than once."""
-    if radius < 0 or n_bits <= 0:
+    Tokens are hashed once each; windows combine the integers, without
+    building strings.  Null tokens give null; an empty token array gives an
+    empty array.  Filters on the result are pushed below the projection by
+    Catalyst and recompute it: checkpoint or write fingerprints that are
+    filtered or read more than once."""
+    if radius < 0 or (n_bits is not None and n_bits <= 0):
         raise ValueError("radius must be >= 0 and n_bits > 0")
     t = _c(toks)
-    per_radius = [F.transform(windows(t, k), _hash_with_radius(k, n_bits, hash_fn))
-                  for k in range(radius + 1)]
-    bits = F.array_sort(F.array_distinct(F.flatten(F.array(*per_radius))))
-    return F.when(t.isNull(), F.lit(None).cast("array<int>")).otherwise(bits)
 
+    # a one-element transform binds the hash array to a variable, so that it
+    # is computed once and not for each window
+    def bits(h):
+        return F.array_sort(F.array_distinct(F.flatten(F.array(*[_window_hashes(h, k, n_bits) for k in range(radius + 1)]))))
 
-def _hash_with_radius(k: int, n_bits: int, hash_fn: str):
-    # one-argument lambda: ``transform`` passes the index to two-argument ones
-    return lambda w: bit_of(F.concat(F.lit(f"{k}:"), w), n_bits, hash_fn)
+    kind = "int" if n_bits is not None else "bigint"
+    return F.when(t.isNull(), F.lit(None).cast(f"array<{kind}>")).otherwise(F.get(F.transform(F.array(token_hashes(t)), bits), F.lit(0)))
 
 
 def explode_bits(bits) -> Column:
@@ -95,9 +98,12 @@ def sign_bits(vec) -> Column:
 def dense_fingerprint(bits, n_bits: int) -> Column:
     """0/1 array of length ``n_bits`` from set-bit positions."""
     b = _c(bits)
-    dense = F.transform(F.sequence(F.lit(0), F.lit(n_bits - 1)),
-                        lambda i: F.array_contains(b, i).cast("int"))
-    return F.when(b.isNull(), F.lit(None).cast("array<int>")).otherwise(dense)
+    # runs of zeros between the sorted bits: linear in n_bits
+    ends = F.concat(b, F.array(F.lit(n_bits)))
+    gaps = F.transform(ends, lambda e, i: F.concat(
+        F.array_repeat(F.lit(0), F.when(i == 0, e).otherwise(e - F.get(ends, i - 1) - 1).cast("int")),
+        F.when(e < n_bits, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))))
+    return F.when(b.isNull(), F.lit(None).cast("array<int>")).otherwise(F.flatten(gaps))
 
 
 def pattern_keys(text, patterns: list[str]) -> Column:
@@ -155,16 +161,15 @@ def similarity(a, b, method: str = "tanimoto") -> Column:
                          f"use one of {sorted(SIMILARITY)}") from None
 
 
-def with_fingerprint(df, text_col: str, out: str = "bits", radius: int = 2, n_bits: int = 2048,
-                     hash_fn: str = "md5", pattern: str | None = None, keep_tokens: bool = False,
-                     parallelize: bool = True):
-    """Add ``out``: tokens are projected once into a column, then hashed.
-    With ``parallelize`` a frame with fewer partitions than cores is spread
-    first (hashing is CPU-bound)."""
-    from ..session import spread
+def with_fingerprint(df, text_col: str, out: str = "bits", radius: int = 2, n_bits: int | None = 2048,
+                     pattern: str | None = None, keep_tokens: bool = False, lowercase: bool = True,
+                     partitions: int | None = None):
+    """Add ``out``: tokens are projected once into a column, then hashed.  With
+    ``lowercase=False`` tokens differ by case.  ``partitions`` deals the rows of
+    a table with few splits first."""
+    from ..session import with_partitions
     from .tokens import tokens
     tmp = "_tokens" if not keep_tokens else "tokens"
-    x = spread(df) if parallelize else df
-    x = x.withColumn(tmp, tokens(text_col, pattern))
-    x = x.withColumn(out, hashed_fingerprint(F.col(tmp), radius, n_bits, hash_fn))
+    x = with_partitions(df, partitions).withColumn(tmp, tokens(text_col, pattern, lowercase))
+    x = x.withColumn(out, hashed_fingerprint(F.col(tmp), radius, n_bits))
     return x if keep_tokens else x.drop(tmp)

@@ -12,19 +12,13 @@ from pyspark.sql import types as T
 
 from ..functions.fingerprint import explode_bits, token_matches, with_fingerprint
 from ..functions.tokens import tokens
-from ..session import cut_lineage, spread
-from .rules import rule_flags, string_descriptors
+from ..session import cut_lineage, with_partitions
+from .rules import below, above, rule_flags, text_descriptors
 
 # Largest bit space whose per-bit table is broadcast (rows = n_bits).
 MAX_BROADCAST_BITS = 1 << 22
 
 
-def add_fingerprint(df: DataFrame, text_col: str, out: str = "bits", radius: int = 2,
-                    n_bits: int = 2048, hash_fn: str = "md5",
-                    pattern: str | None = None) -> DataFrame:
-    return with_fingerprint(df, text_col, out, radius, n_bits, hash_fn, pattern)
-
-
 def fingerprint_density(df: DataFrame, bits_col: str, n_bits: int) -> DataFrame:
     """Rows, mean set bits per row and sparsity ``1 - mean/n_bits`` over
     the whole table (null fingerprints skipped)."""
@@ -77,15 +71,16 @@ def rarity_score(df: DataFrame, id_col: str, bits_col: str, n_bits: int,
 
 
 def pattern_search(df: DataFrame, id_col: str, text_col: str,
-                   patterns: Sequence[Sequence[str]], token_pattern: str | None = None) -> DataFrame:
+                   patterns: Sequence[Sequence[str]], token_pattern: str | None = None, lowercase: bool = True,
+                   partitions: int | None = None) -> DataFrame:
     """Occurrences of token-sequence patterns: one row per (row, pattern)
     with at least one match: ``(id, pattern_id, n_matches, matches)`` where
     ``matches`` is an array of 0-based token-index arrays.
 
     Patterns are a parameter list compiled into the projection: no join,
     no shuffle, each row is scanned once per pattern."""
-    toks = tokens(text_col, token_pattern)
-    df = spread(df)
+    toks = tokens(text_col, token_pattern, lowercase)
+    df = with_partitions(df.select(id_col, text_col), partitions)
     found = F.array(*[F.struct(F.lit(i).alias("pattern_id"), token_matches(F.col("_t"), list(p)).alias("matches"))
                       for i, p in enumerate(patterns)])
     return (df.select(F.col(id_col), toks.alias("_t"))
@@ -96,19 +91,33 @@ def pattern_search(df: DataFrame, id_col: str, text_col: str,
             .select(id_col, "pattern_id", "n_matches", "matches"))
 
 
+def _isolated(fn: Callable[[pd.Series], pd.DataFrame], s: pd.Series, fields: list[str]) -> pd.DataFrame:
+    """``fn`` over a batch, halved until the rows that raise stand alone."""
+    try:
+        out = fn(s).reset_index(drop=True)[fields]
+        if len(out) != len(s):
+            raise ValueError(f"the function returned {len(out)} rows for {len(s)}")
+        return out
+    except Exception:
+        if len(s) == 1:
+            return pd.DataFrame({f: [None] for f in fields})
+        half = len(s) // 2
+        return pd.concat([_isolated(fn, s.iloc[:half], fields), _isolated(fn, s.iloc[half:], fields)], ignore_index=True)
+
+
 def batch_featurize(df: DataFrame, text_col: str,
                     fn: Callable[[pd.Series], pd.DataFrame] | None = None,
                     schema: T.StructType | None = None, prefix: str = "calc_",
-                    error_col: str = "featurize_error") -> DataFrame:
+                    error_col: str = "featurize_error", partitions: int | None = None) -> DataFrame:
     """Descriptor columns ``<prefix><field>`` for each row.
 
-    Default: the native ``string_descriptors`` (no Python).  With ``fn`` (a
+    Default: the native ``text_descriptors`` (no Python).  With ``fn`` (a
     user batch function ``Series[str] -> DataFrame`` whose columns match
-    ``schema``) it runs as an Arrow-batched pandas UDF.  Rows where ``fn``
-    raises come back as nulls with ``error_col`` true, so failures are
-    counted instead of hidden."""
+    ``schema``) it runs as an Arrow-batched pandas UDF.  ``error_col`` is true
+    for a null input, for a row on which ``fn`` raises, and for a row whose
+    fields all come back null; such rows have null fields."""
     if fn is None:
-        out = string_descriptors(df, text_col, prefix=prefix)
+        out = text_descriptors(df, text_col, prefix=prefix, partitions=partitions)
         return out.withColumn(error_col, F.col(text_col).isNull())
     if schema is None:
         raise ValueError("a user function needs its output schema")
@@ -117,35 +126,25 @@ def batch_featurize(df: DataFrame, text_col: str,
 
     @F.pandas_udf(ret)
     def _run(s: pd.Series) -> pd.DataFrame:
-        try:
-            res = fn(s).reset_index(drop=True)
-            res[error_col] = s.isna().to_numpy()
-            return res[fields + [error_col]]
-        except Exception:  # fall back to per-row calls to isolate bad rows
-            rows = []
-            for v in s:
-                try:
-                    r = fn(pd.Series([v])).iloc[0].to_dict()
-                    r[error_col] = v is None
-                except Exception:
-                    r = {f: None for f in fields}
-                    r[error_col] = True
-                rows.append(r)
-            return pd.DataFrame(rows, columns=fields + [error_col])
-
-    with_struct = spread(df).withColumn("_desc", _run(F.col(text_col)))
+        res = _isolated(fn, s.reset_index(drop=True), fields)
+        res[error_col] = (s.isna().to_numpy() | res[fields].isna().all(axis=1).to_numpy())
+        return res
+
+    with_struct = with_partitions(df, partitions).withColumn("_desc", _run(F.col(text_col)))
     return with_struct.select(*df.columns,
                               *[F.col(f"_desc.{f}").alias(f"{prefix}{f}") for f in fields],
                               F.col(f"_desc.{error_col}").alias(error_col))
 
 
-def feature_batch(df: DataFrame, text_col: str, radius: int = 2, n_bits: int = 2048,
-                  prefix: str = "calc_", bits_col: str = "morgan_fp") -> DataFrame:
+def text_rules(prefix: str = "calc_") -> list[tuple]:
+    """Rules of ``feature_batch`` unless the caller gives others."""
+    return [("short_text", below(f"{prefix}n_chars", 50)), ("few_distinct", below(f"{prefix}distinct_token_share", 0.3)),
+            ("many_capitals", above(f"{prefix}upper_share", 0.3)), ("much_punctuation", above(f"{prefix}punct_share", 0.15))]
+
+
+def feature_batch(df: DataFrame, text_col: str, radius: int = 2, n_bits: int = 2048, prefix: str = "calc_",
+                  bits_col: str = "bits", rules: list[tuple] | None = None, partitions: int | None = None) -> DataFrame:
     """Descriptors, fingerprint and rule flags in one pass over the rows."""
-    d = string_descriptors(df, text_col, prefix=prefix)
+    d = text_descriptors(df, text_col, prefix=prefix, partitions=partitions)
     d = with_fingerprint(d, text_col, bits_col, radius, n_bits)
-    rules = [("lipinski_mw_violation", F.col(f"{prefix}molecular_weight") > 500),
-             ("lipinski_logp_violation", F.col(f"{prefix}logp") > 5),
-             ("lipinski_hbd_violation", F.col(f"{prefix}num_h_donors") > 5),
-             ("lipinski_hba_violation", F.col(f"{prefix}num_h_acceptors") > 10)]
-    return rule_flags(d, rules, total_col="lipinski_violations", pass_col="is_drug_like")
+    return rule_flags(d, text_rules(prefix) if rules is None else rules)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.quantiles import exact_quantiles_many
+from ..session import cut_lineage
 
 QUANTILES = (0.25, 0.5, 0.75)
 
@@ -89,10 +90,10 @@ def describe_basic(df: DataFrame, cols: Sequence[str] | None = None, digits: int
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Rows per value (nulls dropped) and share of the non-null total."""
-    nn = df.filter(F.col(col).isNotNull())
-    total = nn.select(F.count(F.lit(1)).cast("double")).scalar()
-    return (nn.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("share", F.col("count") / total)
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    counts = cut_lineage(counts, "value-counts")  # one scan of the table; the total is taken from the counts
+    total = counts.select(F.sum("count").cast("double")).scalar()
+    return (counts.withColumn("share", F.col("count") / total)
             .orderBy(F.desc("count"), F.col(col)))
 
 

@@ -56,9 +56,9 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     The group-by runs with map-side partial counts, so a key holding a
     third of all rows is pre-aggregated before the shuffle."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-    return per_key.agg(F.sum("_c").cast("bigint").alias("n_rows"),
-                       F.count(F.lit(1)).cast("bigint").alias("n_distinct"),
-                       F.sum(F.col("_c") - 1).cast("bigint").alias("n_duplicates"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return per_key.agg(total(F.col("_c")).alias("n_rows"), F.count(F.lit(1)).cast("bigint").alias("n_distinct"),
+                       total(F.col("_c") - 1).alias("n_duplicates"))
 
 
 def _nan_safe(df: DataFrame, c: str) -> Column:

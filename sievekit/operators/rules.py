@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.tokens import char_count
-from ..session import spread
+from ..functions.tokens import tokens
+from ..session import with_partitions
 
 # Default rule-of-five upper limits (violation when the value
 # is strictly above the limit) and the number of violations still passing.
@@ -25,48 +25,6 @@ RULE_OF_FIVE = (
 )
 MAX_VIOLATIONS = 1
 
-# Clip ranges of the eight string-derived properties.
-PROPERTY_RANGES = {
-    "molecular_weight": (150, 600),
-    "logp": (-2, 6),
-    "tpsa": (20, 140),
-    "num_h_donors": (0, 6),
-    "num_h_acceptors": (0, 12),
-    "num_rotatable_bonds": (0, 12),
-    "num_aromatic_rings": (0, 4),
-    "num_heteroatoms": (1, 10),
-}
-
-# The toxicity-style weighted rules (condition, weight).
-TOXICITY_RULES = (
-    ("molecular_weight", ">", 500, 0.15),
-    ("logp", ">", 5, 0.2),
-    ("num_h_donors", ">", 5, 0.1),
-    ("num_h_acceptors", ">", 10, 0.1),
-    ("tpsa", "<", 30, 0.15),
-    ("num_aromatic_rings", ">", 3, 0.1),
-)
-
-# The solubility-style linear form (coefficient, column,
-# centre), its intercept and clip range.
-SOLUBILITY_TERMS = (
-    (-0.005, "molecular_weight", 300),
-    (-0.5, "logp", 0),
-    (0.01, "tpsa", 70),
-    (0.1, "num_h_donors", 0),
-    (0.05, "num_h_acceptors", 0),
-)
-SOLUBILITY_INTERCEPT = 0.5
-SOLUBILITY_RANGE = (-8, 1)
-
-# The activity-style banded class (base, closed-range
-# bonuses, clip, bands tested in order, default).
-ACTIVITY_BASE = 0.5
-ACTIVITY_BONUSES = (("molecular_weight", 300, 500, 0.2), ("logp", 2, 4, 0.2))
-ACTIVITY_BANDS = ((0.7, "active"), (0.4, "moderate"))
-ACTIVITY_DEFAULT = "inactive"
-
-
 def _nn(c) -> Column:
     x = F.col(c) if isinstance(c, str) else c
     return F.nanvl(x.cast("double"), F.lit(None))
@@ -119,23 +77,19 @@ def rule_flags(df: DataFrame, rules: Sequence[tuple[str, Column]] | None = None,
 def rule_summary(flagged: DataFrame, total_col: str = "n_violations",
                  pass_col: str = "passes") -> DataFrame:
     """Rows per violation count with their share, and whether that count
-    passes.  The share denominator is a scalar subquery."""
-    total = flagged.select(F.count(F.lit(1)).cast("double")).scalar()
-    return (flagged.groupBy(total_col)
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.first(pass_col).alias(pass_col))
-            .withColumn("pct_rows", F.col("n_rows") * 100.0 / total)
+    passes.  One scan: the total is the sum of the few grouped counts."""
+    counts = flagged.groupBy(total_col).agg(F.count(F.lit(1)).alias("n_rows"), F.first(pass_col).alias(pass_col))
+    return (counts.withColumn("pct_rows", F.col("n_rows") * 100.0 / F.sum("n_rows").over(Window.partitionBy()).cast("double"))
             .orderBy(total_col))
 
 
-def weighted_rule_score(df: DataFrame, terms: Sequence[tuple[Column, float]] | None = None,
+def weighted_rule_score(df: DataFrame, terms: Sequence[tuple[Column, float]],
                         noise: Column | None = None, threshold: float = 0.5,
                         score_col: str = "score", label_col: str = "label",
                         digits: int = 4) -> DataFrame:
     """Sum of weights of the true conditions (+ optional noise column),
     clipped to [0, 1].  The label compares the *unrounded* score with the
     threshold; the stored score is rounded half-to-even to ``digits``."""
-    if terms is None:
-        terms = [(compare(c, op, v), w) for c, op, v, w in TOXICITY_RULES]
     raw = F.lit(0.0)
     for cond, w in terms:
         raw = raw + F.when(cond, F.lit(float(w))).otherwise(F.lit(0.0))
@@ -148,8 +102,7 @@ def weighted_rule_score(df: DataFrame, terms: Sequence[tuple[Column, float]] | N
              .drop("_raw_score")
 
 
-def linear_score(df: DataFrame, terms: Sequence[tuple[float, str, float]] = SOLUBILITY_TERMS,
-                 intercept: float = SOLUBILITY_INTERCEPT, bounds=SOLUBILITY_RANGE,
+def linear_score(df: DataFrame, terms: Sequence[tuple[float, str, float]], intercept: float, bounds: tuple[float, float],
                  noise: Column | None = None, out: str = "linear_score",
                  digits: int = 2) -> DataFrame:
     """``intercept + sum(coef * (col - centre))`` (+ noise), clipped and
@@ -162,10 +115,8 @@ def linear_score(df: DataFrame, terms: Sequence[tuple[float, str, float]] = SOLU
     return df.withColumn(out, F.bround(clip(x, float(bounds[0]), float(bounds[1])), digits))
 
 
-def banded_class(df: DataFrame, base: float = ACTIVITY_BASE,
-                 bonuses: Sequence[tuple[str, float, float, float]] = ACTIVITY_BONUSES,
-                 bands: Sequence[tuple[float, str]] = ACTIVITY_BANDS,
-                 default: str = ACTIVITY_DEFAULT, noise: Column | None = None,
+def banded_class(df: DataFrame, base: float, bonuses: Sequence[tuple[str, float, float, float]],
+                 bands: Sequence[tuple[float, str]], default: str, noise: Column | None = None,
                  score_col: str = "band_score", out: str = "band") -> DataFrame:
     """Base score plus a bonus per closed range hit, clipped to [0, 1],
     then cut into named bands (first band whose threshold is exceeded)."""
@@ -183,41 +134,27 @@ def banded_class(df: DataFrame, base: float = ACTIVITY_BASE,
     return df.withColumn(score_col, s).withColumn(out, cls)
 
 
-def string_descriptors(df: DataFrame, text_col: str, prefix: str = "") -> DataFrame:
-    """Eight numeric properties from character counts of a string (the
-    generator's property rules without their noise terms), in one
-    projection.  Counts are case-sensitive; integer properties truncate
-    toward zero.  Null text gives nulls.  Long texts make this CPU-bound,
-    so a frame with fewer partitions than cores is spread first."""
-    df = spread(df)
-    s = F.col(text_col)
-    L = F.length(s)
-    C = char_count(s, "C") + char_count(s, "c")
-    N = char_count(s, "N") + char_count(s, "n")
-    O = char_count(s, "O") + char_count(s, "o")
-    S = char_count(s, "S")
-    ring = char_count(s, "c1")
-    r = PROPERTY_RANGES
-
-    def dbl(name, x):
-        lo, hi = r[name]
-        return F.bround(clip(x.cast("double"), float(lo), float(hi)), 2)
-
-    def cnt(name, x):
-        lo, hi = r[name]
-        return clip(x.cast("double"), float(lo), float(hi)).cast("int")
-
-    props = {
-        "molecular_weight": dbl("molecular_weight", F.lit(150) + L * 8),
-        "logp": dbl("logp", C * 0.5 - O * 0.5 - N * 0.3),
-        "tpsa": dbl("tpsa", O * 20 + N * 15),
-        "num_h_donors": cnt("num_h_donors", N + O * 0.5),
-        "num_h_acceptors": cnt("num_h_acceptors", O + N),
-        "num_rotatable_bonds": cnt("num_rotatable_bonds", L * 0.15),
-        "num_aromatic_rings": cnt("num_aromatic_rings", ring),
-        "num_heteroatoms": cnt("num_heteroatoms", N + O + S),
-    }
-    return df.withColumns({f"{prefix}{k}": v for k, v in props.items()})
+#: Columns of ``text_descriptors``.
+DESCRIPTORS = ("n_chars", "n_tokens", "distinct_token_share", "digit_share", "upper_share", "punct_share", "repeated_line_share")
+
+
+def _share(part: Column, whole: Column) -> Column:
+    return F.when(whole == 0, F.lit(0.0)).otherwise(part.cast("double") / whole)
+
+
+def text_descriptors(df: DataFrame, text_col: str, prefix: str = "", partitions: int | None = None) -> DataFrame:
+    """Length, tokens, and the shares of distinct tokens, digits, capitals,
+    punctuation (ASCII) and repeated lines of a text, in one projection.
+    Shares of an empty text are 0; null text gives nulls."""
+    s, t, n = F.col(text_col), F.col("_t"), F.length(F.col(text_col))
+    lines = F.split(s, "\n")
+    only = lambda klass: F.length(F.regexp_replace(s, f"[^{klass}]", ""))
+    props = {"n_chars": n, "n_tokens": F.size(t), "distinct_token_share": _share(F.size(F.array_distinct(t)), F.size(t)),
+             "digit_share": _share(only("0-9"), n), "upper_share": _share(only("A-Z"), n),
+             "punct_share": _share(only("!-/:-@\\[-`{-~"), n),
+             "repeated_line_share": F.lit(1.0) - F.size(F.array_distinct(lines)).cast("double") / F.size(lines)}
+    props = {f"{prefix}{k}": F.when(s.isNull(), F.lit(None)).otherwise(v) for k, v in props.items()}
+    return with_partitions(df, partitions).withColumn("_t", tokens(text_col)).withColumns(props).drop("_t")
 
 
 def desirability_score(df: DataFrame, curves: Sequence[tuple[str, float, float, float, float,

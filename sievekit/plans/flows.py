@@ -27,12 +27,13 @@ def ingest(source: DataFrame, key_col: str, target: str, text_col: str | None =
            fractions: Sequence[float] = (0.7, 0.15, 0.15), seed: int = 42) -> dict[str, DataFrame]:
     """Quality checks, profile, rule flags and a hash split, then one write
     of the bronze layer partitioned by ``split``."""
-    report = qu.quality_report(source, [text_col or key_col], text_col, 3, range_checks)
-    profile = pr.describe_full(source)
     flagged = ru.rule_flags(source, rules) if rules is not None else source
     bronze = fr.hash_split(flagged, key_col, fractions, seed=seed)
     io.write_table(bronze, target, partition_by=["split"])
     written = io.read_table(source.sparkSession, target)
+    read_back = written.select(*source.columns)  # the source itself is read once
+    report = qu.quality_report(read_back, [text_col or key_col], text_col, 3, range_checks)
+    profile = pr.describe_full(read_back)
     counts = written.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
     out = {"quality": report, "profile": profile, "split_counts": counts}
     if rules is not None:
@@ -52,15 +53,15 @@ def featurize(spark: SparkSession, bronze: str, text_col: str, target: str,
         "silver": written,
         "null_counts": qu.null_counts(written, calc),
         "stats": pr.describe_basic(written, calc),
-        "rule_summary": ru.rule_summary(written, "lipinski_violations", "is_drug_like"),
-        "density": fpo.fingerprint_density(written, "morgan_fp", n_bits),
-        "bit_usage": fpo.bit_usage(written, "morgan_fp", n_bits),
+        "rule_summary": ru.rule_summary(written, "n_violations", "passes"),
+        "density": fpo.fingerprint_density(written, "bits", n_bits),
+        "bit_usage": fpo.bit_usage(written, "bits", n_bits),
     }
 
 
 def train(spark: SparkSession, silver: str, label_col: str, n_bits: int, run_log_path: str,
           search_space: Mapping[str, Sequence] | None = None, n_trials: int = 20,
-          seed: int = 42, bits_col: str = "morgan_fp") -> dict[str, object]:
+          seed: int = 42, bits_col: str = "bits") -> dict[str, object]:
     """Assemble, weight, train a forest (optionally after a random search),
     score every split and log metrics per split into the run table."""
     from pyspark.ml.classification import RandomForestClassifier

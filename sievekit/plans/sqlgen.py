@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from ..operators.frames import split_cuts
-from ..operators.rules import PROPERTY_RANGES
 
 
 def d(x) -> str:
@@ -22,19 +20,30 @@ def tokens_sql(col: str) -> str:
     return f"list_filter(regexp_split_to_array(lower({col}), '[ \\t\\n\\r]+'), lambda x: x <> '')"
 
 
-def md5_bit_sql(s: str, n_bits: int) -> str:
-    return f"CAST(CAST(('0x' || substr(md5({s}), 1, 8)) AS BIGINT) % {n_bits} AS INTEGER)"
+def token_hashes_sql(tok: str) -> str:
+    return f"list_transform({tok}, lambda t: CAST(('0x' || substr(md5(t), 1, 8)) AS BIGINT))"
 
 
-def fingerprint_sql(tok: str, radius: int, n_bits: int) -> str:
-    parts = []
+def _run_sql(width: int, start: int, factor: int, prime: int) -> str:
+    v = f"CAST({start} AS BIGINT)"
+    for j in range(width):
+        v = f"(({v} * {factor} + h[i + {j}]) % {prime})"
+    return v
+
+
+def fingerprint_sql(hashes: str, radius: int, n_bits: int | None) -> str:
+    """Fingerprint of a column of token hashes named ``h`` (a list of bigint)."""
+    assert hashes == "h"
+    parts, kind = [], "INTEGER" if n_bits else "BIGINT"
     for k in range(radius + 1):
-        win = f"array_to_string({tok}[i - {k}:i + {k}], ' ')"
-        parts.append(
-            f"CASE WHEN len({tok}) >= {2 * k + 1} THEN list_transform(range({1 + k}, len({tok}) - {k} + 1), "
-            f"lambda i: {md5_bit_sql(f"'{k}:' || {win}", n_bits)}) ELSE CAST([] AS INTEGER[]) END")
-    return (f"CASE WHEN {tok} IS NULL THEN NULL ELSE "
-            f"list_sort(list_distinct(flatten([{', '.join(parts)}]))) END")
+        width = 2 * k + 1
+        if n_bits:
+            one = f"CAST({_run_sql(width, k, 1103515245, 2147483647)} % {n_bits} AS INTEGER)"
+        else:
+            one = f"{_run_sql(width, k, 1103515245, 1073741789)} * 1073741824 + {_run_sql(width, k, 69069, 1073741783)}"
+        parts.append(f"CASE WHEN len(h) >= {width} THEN list_transform(range(1, len(h) - {2 * k} + 1), lambda i: {one}) "
+                     f"ELSE CAST([] AS {kind}[]) END")
+    return f"CASE WHEN h IS NULL THEN NULL ELSE list_sort(list_distinct(flatten([{', '.join(parts)}]))) END"
 
 
 def unit_hash_sql(key: str, seed: int) -> str:
@@ -45,52 +54,40 @@ def unit_hash_sql(key: str, seed: int) -> str:
 def split_sql(key: str, fractions: Sequence[float] = (0.7, 0.15, 0.15),
               names: Sequence[str] = ("train", "val", "test"), seed: int = 42) -> str:
     u = unit_hash_sql(key, seed)
-    whens = " ".join(f"WHEN {u} < {d(c)} THEN '{n}'" for c, n in zip(split_cuts(fractions), names))
+    cuts = [sum(fractions[:k + 1]) for k in range(len(fractions) - 1)]
+    whens = " ".join(f"WHEN {u} < {d(c)} THEN '{n}'" for c, n in zip(cuts, names))
     return f"CASE {whens} ELSE '{names[-1]}' END"
 
 
-def _count(col: str, sub: str) -> str:
-    removed = f"(length({col}) - length(replace({col}, '{sub}', '')))"
-    return removed if len(sub) == 1 else f"CAST({removed} / {len(sub)} AS INTEGER)"
-
-
 def _clip(x: str, lo, hi) -> str:
     return f"CASE WHEN ({x}) IS NULL THEN NULL ELSE least(greatest({x}, {d(lo)}), {d(hi)}) END"
 
 
 def descriptors_sql(col: str, prefix: str = "") -> str:
-    """SELECT-list of the eight string descriptors."""
-    L = f"length({col})"
-    C = f"({_count(col, 'C')} + {_count(col, 'c')})"
-    N = f"({_count(col, 'N')} + {_count(col, 'n')})"
-    O = f"({_count(col, 'O')} + {_count(col, 'o')})"
-    S = _count(col, "S")
-    ring = _count(col, "c1")
-    r = PROPERTY_RANGES
-
-    def dbl(name, x):
-        return f"round_even({_clip(f'CAST({x} AS DOUBLE)', *r[name])}, 2) AS {prefix}{name}"
-
-    def cnt(name, x):
-        return f"CAST(trunc({_clip(f'CAST({x} AS DOUBLE)', *r[name])}) AS INTEGER) AS {prefix}{name}"
-
-    return ", ".join([
-        dbl("molecular_weight", f"150 + {L} * 8"),
-        dbl("logp", f"{C} * {d(0.5)} - {O} * {d(0.5)} - {N} * {d(0.3)}"),
-        dbl("tpsa", f"{O} * 20 + {N} * 15"),
-        cnt("num_h_donors", f"{N} + {O} * {d(0.5)}"),
-        cnt("num_h_acceptors", f"{O} + {N}"),
-        cnt("num_rotatable_bonds", f"{L} * {d(0.15)}"),
-        cnt("num_aromatic_rings", ring),
-        cnt("num_heteroatoms", f"{N} + {O} + {S}"),
-    ])
+    """SELECT-list of the text descriptors."""
+    n, toks = f"length({col})", tokens_sql(col)
+    lines = f"string_split({col}, chr(10))"
+
+    def share(part, whole):
+        return f"CASE WHEN {col} IS NULL THEN NULL WHEN {whole} = 0 THEN {d(0)} ELSE CAST({part} AS DOUBLE) / {whole} END"
+
+    def only(klass):
+        return f"length(regexp_replace({col}, '[^{klass}]', '', 'g'))"
+
+    props = {"n_chars": f"CAST({n} AS INTEGER)", "n_tokens": f"CAST(len({toks}) AS INTEGER)",
+             "distinct_token_share": share(f"len(list_distinct({toks}))", f"len({toks})"),
+             "digit_share": share(only("0-9"), n), "upper_share": share(only("A-Z"), n),
+             "punct_share": share(only("!-/:-@\\[-`{-~"), n),
+             "repeated_line_share": f"{d(1)} - CAST(len(list_distinct({lines})) AS DOUBLE) / len({lines})"}
+    return ", ".join(f"{v} AS {prefix}{k}" for k, v in props.items())
 
 
 def weighted_score_sql(terms: Sequence[tuple[str, float]], threshold: float = 0.5,
-                       score: str = "score", label: str = "label", digits: int = 4) -> str:
+                       score: str = "score", label: str = "label", digits: int = 4, noise: str | None = None) -> str:
     raw = d(0.0)
     for cond, w in terms:
         raw = f"({raw} + CASE WHEN {cond} THEN {d(w)} ELSE {d(0.0)} END)"
+    raw = raw if noise is None else f"({raw} + {noise})"
     c = _clip(raw, 0.0, 1.0)
     return f"({c}) > {d(threshold)} AS {label}, round_even({c}, {digits}) AS {score}"
 

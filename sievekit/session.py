@@ -7,7 +7,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,20 +33,26 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+_LOCAL_DIRS: dict[str, str] = {}
+
 
-    On a cluster that setting points at shared storage and is only read.
-    Where it is unset (local tests) a fresh folder is made and set."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="sievekit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only read, never written to the session's settings.  On a cluster the
+    setting is required: a machine-local folder would differ between
+    executors.  In local mode without it (tests) one fresh folder per
+    application is used."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path:
+        return path
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder (master is {master})")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="sievekit-scratch-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -65,30 +70,14 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    # small outputs come back as one packed split; spread them over the
-    # cores (a file-sourced shuffle, nothing recomputed)
-    return spread(spark.read.parquet(path), persist=False)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, persist: bool = True) -> DataFrame:
-    """Round-robin repartition only when the frame has fewer partitions than
-    the cluster has cores, before CPU-heavy per-row work (tokenising,
-    hashing).  Large inputs already have many splits and pass through
-    unchanged; a small file with one row group is spread over all cores.
-
-    The spread rows are persisted (memory and disk).  That bounds nothing
-    large (the frame had fewer splits than cores) and makes the result a
-    leaf for the optimizer: filters on columns computed later cannot be
-    pushed below the repartition into the single scan task, where they
-    would recompute the expensive expressions serially.  Round-robin with
-    the default local sort is deterministic on retry."""
-    if df.isStreaming:  # micro-batches are sized by the source options
-        return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    out = df.repartition(want)
-    return out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def with_partitions(df: DataFrame, partitions: int | None) -> DataFrame:
+    """``df`` dealt to so many partitions if the caller asks for it.  For inputs
+    of fewer splits than cores before CPU-heavy work on each row; never needed
+    for large tables.  Select the needed columns first: all of them move."""
+    return df if partitions is None else df.repartition(partitions)
 
 
 def table_path(sf_dir: str, name: str) -> str:
