@@ -82,3 +82,46 @@ def test_batch_featurize_user_function_with_failures(spark):
     assert out["bad"]["calc_n"] is None and out["bad"]["featurize_error"] is True
     assert out[None]["featurize_error"] is True
     assert out["abc"]["featurize_error"] is False
+
+
+def test_null_results_and_bad_rows_are_flagged(spark):
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    calls = []
+
+    def fn(s: pd.Series) -> pd.DataFrame:
+        calls.append(len(s))
+        if (s == "bad").any():
+            raise ValueError
+        return pd.DataFrame({"n": s.str.len().where(s != "none").astype("float64")})
+
+    schema = T.StructType([T.StructField("n", T.DoubleType())])
+    s = pd.Series(["x"] * 63 + ["bad"])
+    out = fpo._isolated(fn, s, ["n"])
+    assert out["n"].isna().sum() == 1 and len(calls) <= 2 * 7  # halves, not rows
+    df = spark.createDataFrame([("none",), ("ok",)], "t string")
+    got = {r["t"]: r["featurize_error"] for r in fpo.batch_featurize(df, "t", fn, schema).collect()}
+    assert got == {"none": True, "ok": False}
+
+
+def test_case_is_kept_on_request(spark):
+    """On strings where c and C are different things."""
+    df = spark.createDataFrame([(1, "CC(=O)Oc1ccccc1C(=O)O"), (2, "CN1C=NC2=C1C(=O)N(C(=O)N2C)C"), (3, "cc(=o)oC1CCCCC1c(=o)o")], "id int, s string")
+    atom = "[A-Za-z][0-9]?|[=()]"
+    low, kept = ({r["id"]: r["bits"] for r in with_fingerprint(df, "s", "bits", 1, 4096, pattern=atom, lowercase=x).collect()} for x in (True, False))
+    assert low[1] == low[3] and kept[1] != kept[3] and low[1] != kept[1]
+    hits = {r["id"] for r in fpo.pattern_search(df, "id", "s", [["c", "c"]], token_pattern="[A-Za-z]", lowercase=False).collect()}
+    assert hits == {1, 3}
+
+
+def test_unfolded_hashes(spark):
+    df = spark.createDataFrame([(1, "a b c d"), (2, None), (3, "")], "id int, t string")
+    out = {r["id"]: r["bits"] for r in with_fingerprint(df, "t", "bits", 1, None).collect()}
+    assert len(out[1]) == 6 and all(0 <= b < 1 << 60 for b in out[1]) and out[2] is None and out[3] == []
+
+
+def test_dense_of_edges(spark):
+    df = spark.createDataFrame([([],), ([0],), ([4],), ([0, 1, 2, 3, 4],), (None,)], "b array<int>")
+    got = [r["d"] for r in df.select(dense_fingerprint("b", 5).alias("d")).collect()]
+    assert got == [[0] * 5, [1, 0, 0, 0, 0], [0, 0, 0, 0, 1], [1] * 5, None]

@@ -8,6 +8,10 @@ MODEL_QUERIES = {"assemble_features", "train_forest", "train_boosted", "score_ro
                  "top_importances", "run_log", "save_model"}
 
 
+ROW_WISE = ["string_descriptors", "hashed_fingerprint", "pattern_keys", "pattern_search", "feature_batch", "columns_with_prefix", "rule_flags",
+            "weighted_rule_score", "linear_score", "banded_class", "desirability_score", "dense_fingerprint", "batch_featurize"]
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -29,3 +33,27 @@ def test_scan_pruning_and_pushdown(spark):
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_tax:double>" in plan
     plan = _plan(E.queries()["range_filter"](spark, SF))
     assert "PushedFilters: [IsNotNull(l_extendedprice), GreaterThanOrEqual(l_extendedprice,10000.0)" in plan
+
+
+def test_building_row_wise_queries_starts_no_job(spark):
+    """Beyond reading the footer of the Parquet file."""
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    for name in ROW_WISE:
+        context.setJobGroup(f"build-{name}", name)
+        E.queries()[name](spark, SF)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert len(tracker.getJobIdsForGroup(f"build-{name}")) <= 1, name
+
+
+def test_reports_scan_once(spark):
+    from sievekit.operators import profile as pr
+    from sievekit.operators import rules as ru
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert _plan(ru.rule_summary(ru.rule_flags(li, [("q", ru.above("l_quantity", 45))]))).count("FileScan") == 1
+    counts = pr.value_counts(li, "l_returnflag")
+    assert "lineitem" not in _plan(counts)  # what is left reads the few counts
+
+
+def test_text_queries_read_only_key_and_text(spark):
+    for name in ("string_descriptors", "hashed_fingerprint", "feature_batch", "pattern_search"):
+        assert "ReadSchema: struct<doc_id:bigint,text:string>" in _plan(E.queries()[name](spark, SF)), name

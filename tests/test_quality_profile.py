@@ -69,3 +69,10 @@ def test_exact_quantiles_bucketed_path_matches_numpy(spark):
     assert np.allclose(got, want, rtol=0, atol=1e-12)
     many = exact_quantiles_many(df, {"a": df["x"], "b": df["x"] * 2}, [0.5], rows_per_bucket=50)
     assert abs(many["a"][0] - np.median(vals)) < 1e-12 and abs(many["b"][0] - 2 * np.median(vals)) < 1e-12
+
+
+def test_duplicates_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a int, t string")
+    assert tuple(qu.duplicate_count(df, ["a"]).first()) == (0, 0, 0)
+    report = {r["check_name"]: r for r in qu.quality_report(df, ["a"], "t").collect()}
+    assert report["duplicate_keys"]["value"] == 0 and report["duplicate_keys"]["status"] == "PASS"

@@ -39,26 +39,20 @@ def test_weighted_score_threshold_before_rounding(spark):
     assert out[3]["score"] == 1.0 and out[4]["score"] == 0.0
 
 
-def test_string_descriptors_counts(spark):
-    df = spark.createDataFrame([("CC(=O)Oc1ccccc1C(=O)O",), ("",), (None,)], "s string")
-    r = ru.string_descriptors(df, "s").collect()
-    first = r[0]
-    # 21 characters; C/c = 9, O/o = 4, N = 0, 'c1' twice
-    assert first["molecular_weight"] == 150 + 21 * 8
-    assert first["logp"] == round(9 * 0.5 - 4 * 0.5, 2)
-    assert first["tpsa"] == 80.0
-    assert first["num_h_donors"] == 2 and first["num_h_acceptors"] == 4
-    assert first["num_rotatable_bonds"] == 3 and first["num_aromatic_rings"] == 2
-    assert first["num_heteroatoms"] == 4
-    assert r[1]["molecular_weight"] == 150.0 and r[1]["num_heteroatoms"] == 1
-    assert r[2]["molecular_weight"] is None
+def test_text_descriptors(spark):
+    df = spark.createDataFrame([("One two\none TWO 12!",), ("",), (None,), ("a\na\nb",)], "s string")
+    r = ru.text_descriptors(df, "s").collect()
+    assert r[0]["n_chars"] == 19 and r[0]["n_tokens"] == 5 and r[0]["distinct_token_share"] == 3 / 5
+    assert (r[0]["digit_share"], r[0]["upper_share"], r[0]["punct_share"]) == (2 / 19, 4 / 19, 1 / 19)
+    assert r[0]["repeated_line_share"] == 0.0 and r[3]["repeated_line_share"] == 1.0 - 2 / 3
+    assert all(r[1][c] == 0 for c in ru.DESCRIPTORS)
+    assert all(r[2][c] is None for c in ru.DESCRIPTORS)
 
 
 def test_banded_class_closed_ranges(spark):
-    df = spark.createDataFrame([(300.0, 2.0), (500.0, 4.0), (299.99, 4.01), (400.0, 1.0)],
-                               "molecular_weight double, logp double")
-    bands = [r["band"] for r in ru.banded_class(df).collect()]
-    assert bands == ["active", "active", "moderate", "moderate"]
+    df = spark.createDataFrame([(300.0, 2.0), (500.0, 4.0), (299.99, 4.01), (400.0, 1.0)], "a double, b double")
+    out = ru.banded_class(df, 0.5, [("a", 300, 500, 0.2), ("b", 2, 4, 0.2)], [(0.7, "active"), (0.4, "moderate")], "inactive")
+    assert [r["band"] for r in out.collect()] == ["active", "active", "moderate", "moderate"]
 
 
 def test_desirability_in_unit_interval(spark):

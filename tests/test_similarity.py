@@ -1,6 +1,8 @@
 import itertools
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sievekit.functions import sign_bits, with_fingerprint
@@ -25,7 +27,7 @@ def _brute_pairs(rows, t):
 
 def test_similarity_join_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    f = with_fingerprint(docs, "text", "bits", 1, 1 << 16).select("doc_id", "bits")
+    f = with_fingerprint(docs, "text", "bits", 1, None).select("doc_id", "bits")
     rows = [(r["doc_id"], r["bits"]) for r in f.collect()]
     for t, salt in ((0.5, 20_000), (0.3, 2)):
         got = {(r["id_a"], r["id_b"]): r["similarity"] for r in si.similarity_join(f, "doc_id", "bits", t, salt_rows=salt).collect()}
@@ -61,10 +63,27 @@ def test_top_k_equals_brute_force(spark):
     emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "label", sign_bits("embedding").alias("bits"))
     protos = si.majority_bits(emb, "label", "bits", "qbits")
     got = {(r["query_id"], r["rank"]): (r["id"], r["similarity"]) for r in
-           si.similar_top_k(emb, protos, "vec_id", "bits", "label", "qbits", k=3, rows_per_group=50).collect()}
+           si.similar_top_k(emb, protos, "vec_id", "bits", "label", "qbits", k=3).collect()}
     corpus = [(r["vec_id"], set(r["bits"])) for r in emb.collect()]
     for p in protos.collect():
         q = set(p["qbits"])
         scored = sorted(((-(len(q & b) / (len(q) + len(b) - len(q & b))), i) for i, b in corpus if q & b))
         for k, (neg, i) in enumerate(scored[:3], start=1):
             assert got[(p["label"], k)] == (i, -neg)
+
+
+def test_join_of_wide_elements_and_copies(spark):
+    """Elements beyond 2**32, and the sizes of copy groups on both sides."""
+    big = 1 << 59
+    rows = [(1, [big, big + 1, big + 2, big + 3]), (2, [big, big + 1, big + 2, big + 3]), (3, [big + 1, big + 2, big + 3]), (4, [])]
+    df = spark.createDataFrame(rows, "id long, bits array<bigint>")
+    got = [tuple(r) for r in si.similarity_join(df, "id", "bits", 0.7).collect()]
+    assert got == [(1, 3, 0.75, 2, 1)]
+
+
+def test_too_many_queries(spark):
+    df = spark.createDataFrame([(1, [1]), (2, [2])], "id long, bits array<int>")
+    q = df.select(F.col("id").alias("q"), F.col("bits").alias("qb"))
+    assert si.similar_top_k(df, q, "id", "bits", "q", "qb", k=1).count() == 2
+    with pytest.raises(ValueError):
+        si.similar_top_k(df, q, "id", "bits", "q", "qb", max_queries=1)

@@ -104,3 +104,71 @@ def test_namespace_and_schema_report(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     rep = {r["column_name"]: r for r in io.schema_report(df).collect()}
     assert rep["a"]["dtype"] == "int" and rep["b"]["non_null"] == 1
+
+
+def test_weights_with_other_and_null_labels(spark):
+    df = spark.createDataFrame([(None,), (2,), (3,), (4,), (0,), (0,), (1,)], "y int")
+    w = {r["label"]: r["weight"] for r in tr.class_weights(df, "y").collect()}
+    assert w == {0: 3 / 4, 1: 3 / 2}
+    got = tr.with_class_weights(df, "y").collect()
+    assert [r["weight"] for r in got] == [None, None, None, None, 0.75, 0.75, 1.5]
+
+
+def test_depth_beyond_the_limit_raises(spark):
+    with pytest.raises(ValueError):
+        tr.train_forest(_separable(spark, 20), num_trees=1, max_depth=31)
+
+
+def test_rows_without_label_are_left_out_of_fits(spark):
+    x = _separable(spark, 60)
+    x = x.unionByName(x.limit(5).withColumn("label", F.lit(None).cast("double")))
+    assert tr.train_forest(x, num_trees=2, max_depth=3).numFeatures == 17
+
+
+def test_refit_and_kept_model(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    x = _separable(spark, 80)
+    model, trials = tr.param_search(x, x, lambda p: RandomForestClassifier(seed=1, **p), {"numTrees": [2, 7]}, n_trials=2,
+                                    parallelism=2, refit=x)
+    best = max(trials.collect(), key=lambda r: (r["val_roc_auc"], -r["trial"]))
+    assert f'"numTrees": {model.getNumTrees}' in best["params"]
+
+
+def test_loading_checks_the_saved_signature(spark):
+    x = _separable(spark, 40)
+    path = scratch_path(spark, "m")
+    tr.save_model(tr.train_forest(x, num_trees=2, max_depth=2), path, x.schema)
+    tr.load_model(path, x)
+    with pytest.raises(ValueError):
+        tr.load_model(path, x.drop("features"))
+
+
+def test_a_run_goes_on_from_another_handle(spark):
+    path = scratch_path(spark, "runs")
+    rid = rn.RunLog(spark, path).start_run("a")
+    rn.RunLog(spark, path).log_metrics(rid, {"m": 1.0})
+    assert rn.RunLog(spark, path).read().where("kind = 'metric' AND run_name = 'a'").count() == 1
+    with pytest.raises(ValueError):
+        rn.RunLog(spark, path).log_metrics("missing", {"m": 1.0})
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from sievekit import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
+    Session.sparkContext.master = "local[2]"
+    assert session.ensure_checkpoint_dir(Session()) == session.ensure_checkpoint_dir(Session())
