@@ -228,6 +228,17 @@ _LI_TYPES = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "b
              ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")]
 
 
+@_register("use_namespace", "SELECT 'sievekit_query' AS database, count(*) AS n_rows FROM nation")
+def q_use_namespace(spark, sf):
+    """A table written into and read from a namespace of its own."""
+    before = spark.catalog.currentDatabase()
+    name = io.use_namespace(spark, "sievekit_query", scratch_path(spark, "namespace"))
+    io.write_table(_t(spark, sf, "nation"), "nation_copy")
+    n = io.read_table(spark, f"{name}.nation_copy").count()
+    io.use_namespace(spark, before)
+    return spark.range(1).select(F.lit(name).alias("database"), F.lit(n).cast("bigint").alias("n_rows"))
+
+
 @_register("schema_report", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{t}' AS dtype, count({c}) AS non_null FROM lineitem" for c, t in _LI_TYPES))
 def q_schema_report(spark, sf):

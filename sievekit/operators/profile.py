@@ -35,9 +35,9 @@ def describe_full(df: DataFrame, cols: Sequence[str] | None = None, exact: bool
     """count, mean, sample std, min, 25/50/75 % (linear interpolation),
     max per numeric column.
 
-    ``exact=True``: quantiles from ``plans.quantiles.exact_quantiles``
-    (distributed counts per distinct value and bucketed running totals; a
-    few jobs per column, nothing unbounded in one task).  ``exact=False``:
+    ``exact=True``: quantiles from ``plans.quantiles`` (three narrow scans for
+    all columns together; only values near the wanted ranks are grouped).
+    ``exact=False``:
     ``percentile_approx`` in the same single aggregate pass."""
     cols = list(cols or numeric_columns(df))
     aggs = []

@@ -1,12 +1,12 @@
-"""Exact quantiles without a one-task value map.
+"""Exact quantiles in three narrow scans, without a one-task value map.
 
-``percentile`` keeps a value -> count map per group and merges all of them
-in a single final task; for a global quantile over billions of distinct
-doubles that task does not fit.  Here the counts per distinct value are a
-distributed group-by (partial aggregation first), the ranks come from the
-bucketed ``running_totals``, and only the rows holding the wanted ranks
-(at most two per quantile) reach the driver.  Linear interpolation between
-the neighbouring order statistics, as pandas and ``quantile_cont``."""
+``percentile`` keeps a value -> count map and merges all of it in one final
+task; for a global quantile over billions of distinct doubles that task does
+not fit.  Here one aggregate pass brackets each wanted rank by
+``percentile_approx``, a second counts the values below each bracket, and a
+third groups only the values inside the brackets, a tiny share of the table.
+Linear interpolation between the neighbouring order statistics, as pandas
+and ``quantile_cont``."""
 
 from __future__ import annotations
 
@@ -19,86 +19,90 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .cumulative import DEFAULT_ROWS_PER_BUCKET, running_totals
 
+#: Grouped values that the driver looks through; more are ranked by running totals.
+MOST_VALUES = 100_000
 
-def exact_quantiles(df: DataFrame, value: Column, probs: Sequence[float],
-                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> list[float | None]:
+
+def exact_quantiles(df: DataFrame, value: Column, probs: Sequence[float], **options) -> list[float | None]:
     """Quantiles of the non-null values of ``value`` (a column expression)."""
-    counts = (df.select(value.alias("v")).filter(F.col("v").isNotNull())
-              .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    counts = cut_lineage(counts)
-    n = counts.agg(F.sum("c")).first()[0]
-    return quantiles_from_counts(counts, n, probs, rows_per_bucket)
-
-
-def quantiles_from_counts(counts: DataFrame, n: int | None, probs: Sequence[float],
-                          rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> list[float | None]:
-    """Quantiles from ``(v, c)`` rows (one per distinct value) totalling ``n``."""
-    if not n:
-        return [None for _ in probs]
-    pos = [(n - 1) * p for p in probs]
-    ranks = sorted({math.floor(h) for h in pos} | {math.ceil(h) for h in pos})
-    cum = running_totals(counts.select("v", "c"), "v", ["c"], rows_per_bucket=rows_per_bucket)
-    cover = None
-    for k in ranks:
-        c = (F.col("c_cum") - F.col("c") <= F.lit(k)) & (F.lit(k) < F.col("c_cum"))
-        cover = c if cover is None else cover | c
-    hits = cum.filter(cover).select("v", "c", "c_cum").collect()   # <= len(ranks) rows
-
-    def at(k):
-        for r in hits:
-            if r["c_cum"] - r["c"] <= k < r["c_cum"]:
-                return float(r["v"])
-        raise AssertionError("rank not covered")
-
-    out = []
-    for h in pos:
-        lo, hi = math.floor(h), math.ceil(h)
-        vl = at(lo)
-        out.append(vl if lo == hi else vl + (at(hi) - vl) * (h - lo))
-    return out
+    return exact_quantiles_many(df, {"v": value}, probs, **options)["v"]
 
 
-def exact_quantiles_many(df: DataFrame, values: dict[str, Column], probs: Sequence[float],
-                         rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> dict[str, list[float | None]]:
-    """``exact_quantiles`` for several columns in one pass: values are
-    unpivoted to ``(k, v)`` and counted per distinct pair once.  Columns
-    whose distinct-value count fits one task share a window partitioned by
-    column; larger ones go through the bucketed running totals."""
+def exact_quantiles_many(df: DataFrame, values: dict[str, Column], probs: Sequence[float], accuracy: int = 10_000,
+                         most_values: int = MOST_VALUES, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> dict[str, list[float | None]]:
+    """``exact_quantiles`` of several columns at once.  Nothing is unpivoted or
+    shuffled but the values inside the brackets; a bracket that misses its rank
+    is widened and counted again."""
     names = list(values)
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), values[k].cast("double").alias("v"))
-                                        for k in names])))
-    counts = cut_lineage(long.filter(F.col("v").isNotNull())
-                         .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
-    sizes = {r["k"]: (r["d"], r["n"]) for r in
-             counts.groupBy("k").agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("n")).collect()}
+    rows = df.select(*[values[k].cast("double").alias(f"c{i}") for i, k in enumerate(names)])
+    width = 4.0 / accuracy
+    marks = [min(1.0, max(0.0, p + s * width)) for p in probs for s in (-1, 1)]
+    first = rows.agg(*[f for i in range(len(names)) for f in (
+        F.count(f"c{i}").alias(f"n{i}"), F.percentile_approx(f"c{i}", marks, accuracy).alias(f"q{i}"))]).first()
+    # (column, probability, position, bracket)
+    wanted = [(i, j, (first[f"n{i}"] - 1) * p, first[f"q{i}"][2 * j:2 * j + 2])
+              for i in range(len(names)) for j, p in enumerate(probs) if first[f"n{i}"]]
+    known, todo = {}, [(i, j, h, *b) for i, j, h, b in wanted]
+    while todo:
+        todo = _resolve(rows, todo, known, most_values, rows_per_bucket)
     out: dict[str, list[float | None]] = {k: [None for _ in probs] for k in names}
-    small = [k for k in names if k in sizes and sizes[k][0] <= rows_per_bucket]
-    wanted: dict[str, list[tuple[float, int, int]]] = {}
-    cover = None
-    for k in small:
-        n = sizes[k][1]
-        pos = [(n - 1) * p for p in probs]
-        wanted[k] = [(h, math.floor(h), math.ceil(h)) for h in pos]
-        ranks = sorted({r for _, lo, hi in wanted[k] for r in (lo, hi)})
-        c = (F.col("k") == F.lit(k)) & F.lit(False)
-        for r in ranks:
-            c = c | ((F.col("k") == F.lit(k)) & (F.col("c_cum") - F.col("c") <= F.lit(r))
-                     & (F.lit(r) < F.col("c_cum")))
-        cover = c if cover is None else cover | c
-    if small:
-        from pyspark.sql import Window
-        w = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        hits = (counts.filter(F.col("k").isin(small)).withColumn("c_cum", F.sum("c").over(w))
-                .filter(cover).select("k", "v", "c", "c_cum").collect())
-        for k in small:
-            rows = [r for r in hits if r["k"] == k]
-
-            def at(r_, rows=rows):
-                return next(float(x["v"]) for x in rows if x["c_cum"] - x["c"] <= r_ < x["c_cum"])
-            out[k] = [at(lo) if lo == hi else at(lo) + (at(hi) - at(lo)) * (h - lo)
-                      for h, lo, hi in wanted[k]]
-    for k in names:
-        if k in sizes and k not in small:
-            out[k] = quantiles_from_counts(counts.filter(F.col("k") == k), sizes[k][1], probs,
-                                           rows_per_bucket)
+    for i, j, h, _ in wanted:
+        lo, hi = known[i, j, math.floor(h)], known[i, j, math.ceil(h)]
+        out[names[i]][j] = lo if lo == hi else lo + (hi - lo) * (h - math.floor(h))
     return out
+
+
+def _resolve(rows: DataFrame, todo: list, known: dict, most_values: int, rows_per_bucket: int) -> list:
+    """Values at the wanted ranks whose brackets hold them; the other brackets, widened."""
+    aggs = []
+    for t, (i, _, _, lo, hi) in enumerate(todo):
+        c = F.col(f"c{i}")
+        aggs += [F.count_if(c < F.lit(lo)).alias(f"below{t}"), F.count_if(c <= F.lit(hi)).alias(f"upto{t}"),
+                 F.max(F.when(c < F.lit(lo), c)).alias(f"before{t}"), F.min(F.when(c > F.lit(hi), c)).alias(f"after{t}")]
+    counts = rows.agg(*aggs).first()
+    inside, again = [], []
+    for t, (i, j, h, lo, hi) in enumerate(todo):
+        below, upto = counts[f"below{t}"], counts[f"upto{t}"]
+        ranks = {math.floor(h), math.ceil(h)}
+        # the neighbours of the bracket are known, too
+        if below - 1 in ranks:
+            known[i, j, below - 1] = counts[f"before{t}"]
+        if upto in ranks:
+            known[i, j, upto] = counts[f"after{t}"]
+        left = [r for r in ranks if (i, j, r) not in known]
+        if all(below <= r < upto for r in left):
+            inside += [(t, i, j, lo, hi, [(r, r - below) for r in left])] if left else []
+        else:
+            again.append((i, j, h, -math.inf if min(left) < below else lo, math.inf if max(left) >= upto else hi))
+    if inside:
+        hit = F.array(*[F.when(F.col(f"c{i}").between(F.lit(lo), F.lit(hi)), F.struct(F.lit(t).alias("t"), F.col(f"c{i}").alias("v")))
+                        for t, i, _, lo, hi, _ in inside])
+        grouped = (rows.select(F.explode(F.filter(hit, lambda x: x.isNotNull())).alias("x")).groupBy(F.col("x.t").alias("t"), F.col("x.v").alias("v"))
+                   .agg(F.count(F.lit(1)).alias("c")))
+        grouped = cut_lineage(grouped, "brackets")
+        got = sorted(tuple(r) for r in grouped.limit(most_values + 1).collect())
+        for t, i, j, _, _, ranks in inside:
+            if len(got) <= most_values:
+                at = _values_at([(v, c) for s, v, c in got if s == t], [r for _, r in ranks])
+            else:
+                at = _values_at_scale(grouped.filter(F.col("t") == t), [r for _, r in ranks], rows_per_bucket)
+            known.update({(i, j, whole): at[r] for whole, r in ranks})
+    return again
+
+
+def _values_at(counts: list[tuple[float, int]], ranks: list[int]) -> dict[int, float]:
+    out, seen = {}, 0
+    for v, c in counts:
+        out.update({r: v for r in ranks if seen <= r < seen + c})
+        seen += c
+    return out
+
+
+def _values_at_scale(counts: DataFrame, ranks: list[int], rows_per_bucket: int) -> dict[int, float]:
+    """The same from a frame (v, c) of any size: at most one row for each rank reaches the driver."""
+    cum = running_totals(counts.select("v", "c"), "v", ["c"], rows_per_bucket=rows_per_bucket)
+    covers = F.lit(False)
+    for r in ranks:
+        covers = covers | ((F.col("c_cum") - F.col("c") <= F.lit(r)) & (F.lit(r) < F.col("c_cum")))
+    hits = cum.filter(covers).select("v", "c", "c_cum").collect()
+    return {r: float(next(x["v"] for x in hits if x["c_cum"] - x["c"] <= r < x["c_cum"])) for r in ranks}

@@ -58,7 +58,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(f"{base}/{name}-{uuid.uuid4().hex[:12]}")
+    return _MADE[-1]
+
+
+_MADE: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all scratch folders handed out so far, once the results that
+    read them have been written; returns how many there were."""
+    jvm, done = spark.sparkContext._jvm, 0
+    for path in [*_MADE]:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        done += where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _MADE.remove(path)
+    return done
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:

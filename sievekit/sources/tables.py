@@ -60,8 +60,6 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite",
     if partition_by:
         w = w.partitionBy(*partition_by)
     if as_table if as_table is not None else "/" not in target:
-        if mode == "overwrite":
-            w = w.option("overwriteSchema", "true")
         w.saveAsTable(target)
     else:
         w.save(target)
@@ -71,8 +69,9 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite",
 def verify_persisted(spark: SparkSession, target: str, source: DataFrame,
                      fmt: str = "parquet") -> DataFrame:
     """One row: rows in the source, rows read back from the target, and
-    whether they agree.  Both are aggregate-only scans (the read-back count
-    is answered from Parquet footers)."""
+    whether they agree.  The source is counted as it is: pass one that was
+    written or read from files, not one whose rows may change when its plan
+    runs again.  The read-back count is answered from Parquet footers."""
     back = read_table(spark, target, fmt)
     n_src = F.lit(source.count())
     return back.agg(F.count(F.lit(1)).alias("rows_read")).select(

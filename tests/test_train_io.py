@@ -172,3 +172,12 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         session.ensure_checkpoint_dir(Session())
     Session.sparkContext.master = "local[2]"
     assert session.ensure_checkpoint_dir(Session()) == session.ensure_checkpoint_dir(Session())
+
+
+def test_scratch_is_deleted_when_asked(spark):
+    from sievekit.session import clear_scratch, cut_lineage
+    df = cut_lineage(spark.range(10).toDF("x"))
+    path = df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/")
+    assert df.count() == 10 and os.path.isdir(path)
+    assert clear_scratch(spark) >= 1
+    assert not os.path.exists(path)
