@@ -793,7 +793,9 @@ def q_param_search(spark, sf):
         # cached node ids: fewer passes over the data for deep trees
         return RandomForestClassifier(seed=42, weightCol="weight", maxMemoryInMB=budget, cacheNodeIds=True, **p)
     train, val = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "val")
+    parts = _parts(spark)
     _, trials = tr.param_search(train, val, build, SEARCH_SPACE, n_trials=20, seed=42, parallelism=parallel,
+                                partitions=parts and max(1, parts // parallel),
                                 refit=cut_lineage(train.unionByName(val), "refit"))
     return trials.select("trial", F.col("val_roc_auc").between(0.0, 1.0).alias("auc_in_unit"))
 
