@@ -87,18 +87,19 @@ class Encoder:
             out[k] = ids
         for at in range(0, len(plain), 50):
             some = [(k, texts[k].split()) for k in plain[at:at + 50]]
-            if len(self.words) > self.limit:
-                self.words.clear()
-            if len(self.parts) > 2 * self.limit:
-                self.parts.clear()
             new = list(set().union(*(w for _, w in some)).difference(self.words))
             split = [_SPLIT.findall(w.lower()) for w in new]
-            self.learn(list({p for ps in split for p in ps if p not in self.parts}))
+            parts = list({p for ps in split for p in ps if p not in self.parts})
+            self.learn(parts)
             get = self.parts.__getitem__
             self.words.update(zip(new, (b"".join(map(get, ps)) for ps in split)))
             get = self.words.__getitem__
             for k, words in some:
                 out[k] = b"".join(map(get, words))
+            # when full, what came first stays: it is the most frequent
+            for known, fresh, most in ((self.words, new, self.limit), (self.parts, parts, 2 * self.limit)):
+                for w in fresh[:max(0, len(known) - most)]:
+                    del known[w]
         return out
 
 
