@@ -27,20 +27,94 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, id_text, id_text_batches, stored, word_hashes
+from .common import gram_hashes, id_text, id_text_batches, stored
 from .components import connected_components
 
 #: The frequency table has 2**SLOT_BITS slots and travels in chunks.
 SLOT_BITS, CHUNK_BITS = 20, 14
 MOST_MATCHES = 4
+#: Nodes that meet at a shingle without regard to their sizes.
+FEW = 64
+#: Rows (two numbers and a flag) that may be broadcast.
+MOST_BROADCAST = 1_000_000
+
+
+#: Fixed random numbers: one for each byte, and an odd multiplier.
+_RNG = np.random.default_rng(20240229)
+_BYTE = _RNG.integers(0, 1 << 64, 256, np.uint64)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes hashed at a time.
+_BLOCK = 1 << 20
+
+
+def _powers(step: int, n: int) -> np.ndarray:
+    out = np.full(n, step, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_UP, _DOWN = _powers(int(_STEP), _BLOCK + 1), _powers(pow(int(_STEP), -1, 1 << 64), _BLOCK + 1)
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words of up to ``_BLOCK`` bytes.  A word's hash
+    is the sum of its bytes' numbers times powers of the multiplier by place,
+    read off running sums."""
+    b = np.frombuffer(data, np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], _BLANK[b], [True]))))
+    start, end = edge[::2], edge[1::2]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[b] * _UP[:len(b)], dtype=np.uint64)))
+    h = (sums[end] - sums[start]) * _DOWN[start]
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0x94D049BB133111EB)
+    return start, h
+
+
+def _long_word_hashes(data: bytes) -> np.ndarray:
+    """Words' hashes of more than a block: cut at blanks; a longer word is hashed by itself."""
+    out, at = [], 0
+    while at < len(data):
+        end = at + _BLOCK
+        if end < len(data):
+            cut = max(data.rfind(c, at, end) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+            if cut < 0:
+                end = min((k for k in (data.find(c, end) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) if k >= 0), default=len(data))
+                out.append(np.array([xxhash.xxh3_64_intdigest(data[at:end])], np.uint64))
+                at = end
+                continue
+            end = cut + 1
+        out.append(_word_hashes(data[at:end])[1])
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; a text of fewer words is one
+    shingle.  Short texts are hashed together, a block at a time."""
+    data = [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
+    hashes: list = [None] * len(data)
+    at = 0
+    while at < len(data):
+        end, size = at, 0
+        while end < len(data) and size + len(data[end]) + 1 <= _BLOCK:
+            size += len(data[end]) + 1
+            end += 1
+        if end == at:
+            hashes[at] = _long_word_hashes(data[at])
+            at += 1
+            continue
+        start, h = _word_hashes(b"\n".join(data[at:end]))
+        first = np.searchsorted(start, np.cumsum([0] + [len(d) + 1 for d in data[at:end]]))
+        for k in range(at, end):
+            hashes[k] = h[first[k - at]:first[k - at + 1]]
+        at = end
+    return [np.unique(gram_hashes(h, min(words, len(h)))) if len(h) else np.zeros(0, np.uint64) for h in hashes]
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct shingle hashes; a text of fewer words is one shingle."""
-    if not text:
-        return np.zeros(0, np.uint64)
-    w = text.encode("utf-8", "surrogatepass").lower().split()
-    return np.unique(gram_hashes(word_hashes(w), min(words, len(w)))) if w else np.zeros(0, np.uint64)
+    return shingle_sets([text], words)[0]
 
 
 def node_of(s: np.ndarray) -> int:
@@ -55,7 +129,7 @@ def _first_pass(words: int):
         for whole in batches:
             at = 0
             for ids, texts in id_text_batches([whole]):
-                sets = [shingle_set(t, words) for t in texts]
+                sets = shingle_sets(texts, words)
                 if any(map(len, sets)):
                     counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(counts)).astype(np.int32)
                 n, nodes = len(sets), [node_of(s) if len(s) else None for s in sets]
@@ -99,13 +173,15 @@ def shingle_frequencies(first: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def bit_filter(nodes: DataFrame, column: str, bits: int = 22) -> np.ndarray:
-    """2**bits bits with one set for each value: 2**(bits - 6) numbers at most."""
-    rows = nodes.select(F.col(column).bitwiseAND(F.lit((1 << bits) - 1)).alias("bit")).groupBy(F.shiftright("bit", 6).alias("at")).agg(
-        F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("word")).collect()
+def bit_filter(values: DataFrame, column: str, most_bits: int = 27) -> np.ndarray:
+    """A bit set of the values' lowest bits, 16 bits for each value but at most
+    2**most_bits in all (16 MB); when it fills up, it only lets more through."""
+    n = values.count()
+    bits = max(16, min(most_bits, (16 * n - 1).bit_length())) if n else 16
+    rows = values.select(F.col(column).bitwiseAND(F.lit((1 << bits) - 1)).alias("bit")).groupBy(F.shiftright("bit", 6).alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("word")).toArrow()
     out = np.zeros(1 << bits - 6, np.int64)
-    for r in rows:
-        out[r["at"]] = r["word"]
+    out[rows["at"].to_numpy()] = rows["word"].to_numpy()
     return out
 
 
@@ -114,6 +190,11 @@ def _in_filter(filter_: np.ndarray, node: int) -> bool:
     return bool(int(filter_[bit >> 6]) >> (bit & 63) & 1)
 
 
+def _all_in_filter(filter_: np.ndarray, values: np.ndarray) -> np.ndarray:
+    bit = values & (len(filter_) * 64 - 1)
+    return (filter_[bit >> 6] >> (bit & 63) & 1).astype(bool)
+
+
 # ------------------------------------------------------------------ prefixes
 def need_of(n: int, m: int, percent: int) -> int:
     """The least intersection of sets of n and m with enough similarity."""
@@ -140,8 +221,7 @@ def _prefixes(words: int, percent: int, freq, mean: float, copies):
     def run(batches):
         for _, texts in id_text_batches(batches):
             rows = []
-            for t in texts:
-                s = shingle_set(t, words)
+            for s in shingle_sets(texts, words):
                 if len(s):
                     node = node_of(s)
                     tokens, matches = chosen_prefix(s, freq.value, mean, percent)
@@ -154,6 +234,22 @@ def _prefixes(words: int, percent: int, freq, mean: float, copies):
 _PREFIX = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int64())]
 
 
+def _repeated(prefixes: DataFrame, repeated) -> DataFrame:
+    """The prefixes without shingles that only one prefix has."""
+    def run(batches):
+        for b in batches:
+            tokens, ends = b.column(4).values.to_numpy(), b.column(4).offsets.to_numpy()
+            tokens, ends = tokens[ends[0]:ends[-1]], ends - ends[0]
+            keep = _all_in_filter(repeated.value, tokens)
+            place = np.arange(len(tokens)) - np.repeat(ends[:-1], np.diff(ends))
+            kept = np.concatenate(([0], np.cumsum(keep)))[ends].astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(kept), pa.array(x[keep], t)) for x, t in ((place, pa.int32()), (tokens, pa.int64()))]
+            out = pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), *lists], names=["node", "n", "l", "copies", "pos", "tokens"])
+            yield out.filter(pa.array(np.diff(kept) > 0))
+
+    return prefixes.mapInArrow(run, "node bigint, n int, l int, copies boolean, pos array<int>, tokens array<bigint>")
+
+
 def _one_each(rows: DataFrame) -> DataFrame:
     """One row for each node; only nodes that may have copies are shuffled."""
     return rows.where("NOT copies").unionByName(rows.where("copies").dropDuplicates(["node"])).drop("copies")
@@ -167,8 +263,7 @@ def _sets(texts: DataFrame, words: int, wanted, copies) -> DataFrame:
     def run(batches):
         for _, some in id_text_batches(batches):
             rows = []
-            for t in some:
-                s = shingle_set(t, words)
+            for s in shingle_sets(some, words):
                 if len(s) and _in_filter(wanted.value, node := node_of(s)):
                     rows.append((node, _in_filter(copies.value, node), s.view(np.int64)))
             cols = list(zip(*rows)) if rows else [[]] * 3
@@ -185,47 +280,85 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("u", "v", (100 * same >= percent * (F.size("a") + F.size("b") - same)).alias("linked"))
 
 
+def _checked(pairs: DataFrame, texts: DataFrame, words: int, copies, percent: int, name: str) -> DataFrame:
+    """``_verified`` pairs, written; the sets come from one more reading of the texts."""
+    pairs = stored(pairs, f"{name}-pairs")
+    wanted = pairs.sparkSession.sparkContext.broadcast(bit_filter(pairs.select(F.explode(F.array("u", "v")).alias("node")), "node"))
+    sets = stored(_sets(texts, words, wanted, copies), f"{name}-sets")
+    return stored(_verified(pairs, sets, percent), name)
+
+
 # --------------------------------------------------------------------- join
+def _bound(c: Column, n: Column, last: Column, m: Column, other_last: Column) -> Column:
+    """No more is shared than the c shingles up to the last shared one and what comes after it."""
+    return c + F.least(n - last, m - other_last) - 1
+
+
 def _star_pairs(met: DataFrame, percent: int) -> DataFrame:
-    """For each node the leader with which it shares most of its prefix."""
+    """For each node the leader with which it shares most of its prefix, if that
+    can be enough; other pairs are left to ``_rest_pairs``."""
     need = _need(F.col("n"), F.col("lead_n"), percent)
-    ok = (F.col("node") != F.col("lead")) & (F.least("n", "lead_n") >= need) & (F.col("pos") <= F.col("n") - need + F.col("l") - 1)
-    shared = met.where(ok).groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"))
+    ok = ((F.col("node") != F.col("lead")) & (F.least("n", "lead_n") >= need)
+          & (F.col("pos") <= F.col("n") - need) & (F.col("lead_pos") <= F.col("lead_n") - need))
+    shared = met.where(ok).groupBy("node", "n", "lead", "lead_n").agg(F.count(F.lit(1)).alias("c"), F.max("pos").alias("pos"), F.max("lead_pos").alias("lead_pos"))
+    shared = shared.where(_bound(F.col("c"), F.col("n"), F.col("pos"), F.col("lead_n"), F.col("lead_pos")) >= need)
     order = F.col("c") * (1 << 20) + F.col("lead").bitwiseAND(F.lit((1 << 20) - 1))
     best = shared.groupBy("node").agg(F.max_by("lead", order).alias("lead"))
     return best.select(F.least("node", "lead").alias("u"), F.greatest("node", "lead").alias("v")).distinct()
 
 
-def _rest_pairs(met: DataFrame, percent: int, step: float = 1.02) -> DataFrame:
+def _rest_pairs(short: DataFrame, labelled: DataFrame, percent: int, step: float = 1.02) -> DataFrame:
     """Pairs of nodes with different labels that share enough of their prefixes.
 
-    The shorter of two sets is looked up under its own size class, the longer
-    one under every class a partner may have and at which its shingle comes
-    early enough.  Within a shingle and class only rows outside the commonest
-    label meet all others."""
+    Nodes meet at shingles in their first ``n - need + 1`` places, of which one
+    at least must be shared: directly at a shingle that ``FEW`` nodes or fewer
+    have, else by size.  There the shorter set is looked up under its own size
+    class, the longer one under every class a partner may have; shingles whose
+    nodes all have one label are left out, and within a shingle and class only
+    rows outside the commonest label meet all others.  Then each pair's longer
+    prefixes are compared: l shingles must be shared, and what follows the last
+    shared one must suffice."""
     klass = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(step))).cast("int")
-    n, pos, l = F.col("n"), F.col("pos"), F.col("l")  # noqa: E741
-    base = met.select("token", "node", "label", "n", "l", "pos")
-    index = base.where(pos <= n - _need(n, n, percent) + l - 1).withColumn("class", klass(n)).withColumn("probe", F.lit(False))
+    n, pos = F.col("n"), F.col("pos")
     least = F.ceil(n * percent / 100).cast("int")
+    labelled = labelled.where(pos <= n - least)
+    rare = labelled.where(F.col("c") <= FEW).select("token", "node", "label", "n", "pos")
+    labelled = labelled.where(F.col("c") > FEW)
+    several = labelled.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("token")
+    base = labelled.join(several, "token").select("token", "node", "label", "n", "pos")
+    index = base.where(pos <= n - _need(n, n, percent)).withColumn("class", klass(n)).withColumn("probe", F.lit(False))
     probe = base.withColumn("class", F.explode(F.sequence(klass(least), klass(n)))).withColumn("probe", F.lit(True))
     lowest = F.greatest(least, F.ceil(F.pow(F.lit(step), F.col("class"))).cast("int") - 1, F.lit(1))
-    probe = probe.where(pos <= n - _need(n, lowest, percent) + l - 1)
+    probe = probe.where(pos <= n - _need(n, lowest, percent))
     rows = index.unionByName(probe)
     by_label = rows.groupBy("token", "class", "label").agg(F.count(F.lit(1)).alias("c"), F.max("probe").alias("some_probe"), F.min("probe").alias("all_probe"))
     mixed = by_label.groupBy("token", "class").agg(F.max_by("label", "c").alias("major"), F.count(F.lit(1)).alias("labels"),
                                                    F.max("some_probe").alias("some_probe"), F.min("all_probe").alias("all_probe"))
     mixed = mixed.where("labels > 1 AND some_probe AND NOT all_probe").select("token", "class", "major")
     rows = stored(rows.join(mixed, ["token", "class"]).withColumn("minor", F.col("label") != F.col("major")).drop("major"), "mixed")
-    x = rows.where("NOT probe").select("token", "class", *(F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "l", "pos", "minor")))
-    y = rows.where("probe").select("token", "class", *(F.col(c).alias(f"y_{c}") for c in ("node", "label", "n", "l", "pos", "minor")))
-    need, few = _need(F.col("x_n"), F.col("y_n"), percent), F.least("x_l", "y_l")
+    side = lambda df, k, *more: df.select("token", *more, *(F.col(c).alias(f"{k}_{c}") for c in ("node", "label", "n", "pos")))
+    x, y = side(rows.where("NOT probe"), "x", "class", "minor"), side(rows.where("probe"), "y", "class", "minor")
+    need = _need(F.col("x_n"), F.col("y_n"), percent)
+    can = F.least("x_pos", "y_pos") + F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
     ok = ((F.col("x_label") != F.col("y_label")) & ((F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") < F.col("y_node"))))
-          & (F.col("x_n") >= need) & (F.col("x_pos") <= F.col("x_n") - need + few - 1) & (F.col("y_pos") <= F.col("y_n") - need + few - 1))
-    same = lambda a, b: a.join(b, ["token", "class"]).where(ok)
-    hits = same(x.where("x_minor"), y).unionByName(same(x.where("NOT x_minor"), y.where("y_minor")))
-    enough = hits.groupBy("x_node", "y_node").agg(F.count(F.lit(1)).alias("c"), F.first(few).alias("few")).where("c >= few")
-    return enough.select(F.least("x_node", "y_node").alias("u"), F.greatest("x_node", "y_node").alias("v"))
+          & (F.col("x_n") >= need) & (F.col("x_pos") <= F.col("x_n") - need) & (F.col("y_pos") <= F.col("y_n") - need) & (can >= need))
+    meet = lambda a, b, *by: a.join(b, ["token", *by]).where(ok).select("x_node", "y_node")
+    pairs = meet(side(rare, "x"), side(rare, "y")).unionByName(meet(x.where("minor").drop("minor"), y.drop("minor"), "class")).unionByName(
+        meet(x.where("NOT minor").drop("minor"), y.where("minor").drop("minor"), "class")).distinct()
+
+    prefix = lambda k: short.select(*(F.col(c).alias(f"{k}_{c}") for c in ("node", "n", "l", "pos", "tokens")))
+    both = stored(pairs, "places-pairs").join(prefix("x"), "x_node").join(prefix("y"), "y_node")
+    few = F.least("x_l", "y_l")
+
+    def within(k):
+        """The prefix that this pair needs."""
+        far = F.size(F.filter(f"{k}_pos", lambda p: p <= F.col(f"{k}_n") - need + few - 1))
+        return F.slice(f"{k}_tokens", 1, far)
+
+    both = both.withColumns({"shared": F.array_intersect(within("x"), within("y"))}).where(F.size("shared") >= few)
+    place = lambda k: F.get(F.col(f"{k}_pos"), F.array_position(F.col(f"{k}_tokens"), F.element_at("shared", -1)).cast("int") - 1)
+    both = both.where(_bound(F.size("shared"), F.col("x_n"), place("x"), F.col("y_n"), place("y")) >= need)
+    return both.select(F.least("x_node", "y_node").alias("u"), F.greatest("x_node", "y_node").alias("v"))
 
 
 def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,9 +373,9 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
     key gets a result row but is no component id, unless all keys of a component
     are null.  Shingles and sets are compared as 64-bit hashes.
 
-    The texts are read three times and never shuffled: for frequencies, for
-    prefixes, and for the sets of documents that share a prefix shingle with
-    another.  Sets equal to each other are one node from the start.  A shingle
+    The texts are read four times and never shuffled: for frequencies, for
+    prefixes, and for the sets of the pairs of either step.  Prefix shingles
+    that no other prefix has are counted and then left behind.  Sets equal to each other are one node from the start.  A shingle
     that very many documents have in their prefix is aggregated with map-side
     combining and joined by a sort-merge join, whose large partitions Spark
     splits.  All texts are compared whole, without a cap anywhere."""
@@ -256,20 +389,21 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
     table = spark.sparkContext.broadcast(freq.astype(np.int32) if freq.max(initial=0) < 1 << 31 else freq)
     prefixes = stored(texts.mapInArrow(_prefixes(words, percent, table, float(freq.mean()), copies),
                                        "node bigint, n int, l int, copies boolean, tokens array<bigint>"), "prefixes")
-    flat = _one_each(prefixes).select("node", "n", "l", F.posexplode("tokens").alias("pos", "token"))
+    tokens = stored(prefixes.select(F.explode("tokens").alias("token")).groupBy("token").count().where("count > 1").select("token"), "tokens")
+    repeated = spark.sparkContext.broadcast(bit_filter(tokens, "token"))
+    short = stored(_one_each(_repeated(prefixes, repeated)), "short")
+    flat = short.select("node", "n", F.inline(F.arrays_zip("pos", "tokens"))).withColumnRenamed("tokens", "token")
     order = F.col("pos").cast("bigint") * (1 << 44) + F.col("n").cast("bigint") * (1 << 20) + F.col("node").bitwiseAND(F.lit((1 << 20) - 1))
-    shared = flat.select("token", "node", order.alias("o")).groupBy("token").agg(
+    lead = flat.select("token", "node", order.alias("o")).groupBy("token").agg(
         F.count(F.lit(1)).alias("c"), F.min("o").alias("o"), F.min_by("node", "o").alias("lead")).where("c > 1").select(
-        "token", "lead", F.shiftright("o", 20).bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("lead_n"))
-    met = stored(flat.join(shared, "token"), "met")
-    wanted = spark.sparkContext.broadcast(bit_filter(met, "node"))
-    sets = stored(_sets(texts, words, wanted, copies), "sets")
+        "token", "c", "lead", F.shiftright("o", 20).bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("lead_n"), F.shiftright("o", 44).cast("int").alias("lead_pos"))
+    met = stored(flat.join(lead, "token"), "met")
 
-    star = stored(_verified(_star_pairs(met, percent), sets, percent), "star")
+    star = _checked(_star_pairs(met, percent), texts, words, copies, percent, "star")
     label = connected_components(star.where("linked").select("u", "v"))
-    met = met.join(label, "node", "left").withColumn("label", F.coalesce("root", "node"))
-    rest = _rest_pairs(met, percent).join(star.select("u", "v"), ["u", "v"], "left_anti")
-    more = stored(_verified(rest, sets, percent).where("linked").select("u", "v"), "links")
+    labelled = met.drop("lead", "lead_n", "lead_pos").join(label, "node", "left").withColumn("label", F.coalesce("root", "node"))
+    rest = _rest_pairs(short, labelled, percent).join(star.select("u", "v"), ["u", "v"], "left_anti")
+    more = _checked(rest, texts, words, copies, percent, "rest").where("linked").select("u", "v")
     label = connected_components(label.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
     roots = label.join(nodes, "node").groupBy("root").agg(F.min("least").alias("component"))
@@ -292,6 +426,8 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     again = rest.where(rank == F.col("best")).groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(
         "doc_id", "text_key", F.lit(1).alias("again"))
     marks = stored(gone.unionByName(again).distinct().toDF("__id", "__key", "__again"), "gone")
+    if marks.count() <= MOST_BROADCAST:
+        marks = F.broadcast(marks)  # else the texts are shuffled
     same = (F.xxhash64(F.col(text_col).cast("string")) == F.col("__key")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("__id"))
     left = docs.join(marks.where("__again = 0"), same, "left_anti")
     if marks.where("__again = 1").isEmpty():
