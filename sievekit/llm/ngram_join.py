@@ -225,13 +225,29 @@ def _prefixes(words: int, percent: int, freq, mean: float, copies):
                 if len(s):
                     node = node_of(s)
                     tokens, matches = chosen_prefix(s, freq.value, mean, percent)
-                    rows.append((node, len(s), matches, _in_filter(copies.value, node), tokens.view(np.int64)))
-            cols = list(zip(*rows)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _PREFIX)], names=["node", "n", "l", "copies", "tokens"])
+                    rows.append((node, len(s), matches, _in_filter(copies.value, node), tokens.view(np.int64), parities(s)))
+            cols = list(zip(*rows)) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _PREFIX)], names=["node", "n", "l", "copies", "tokens", "parity"])
     return run
 
 
-_PREFIX = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int64())]
+_PREFIX = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """1,024 bits: whether a slot of the hash has an odd number of the set's
+    shingles.  Every bit in which two sets differ is a shingle that only one
+    of them has."""
+    return np.packbits((np.bincount((s & np.uint64(1023)).astype(np.int64), minlength=1024) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _may_be_near(pairs: DataFrame, short: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) whose parities do not rule out enough similarity."""
+    side = lambda k: short.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("parity").alias(f"{k}_parity"))
+    both = pairs.join(side("u"), "u").join(side("v"), "v")
+    apart = F.aggregate(F.zip_with("u_parity", "v_parity", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda t, x: t + x)
+    most = F.col("u_n") + F.col("v_n") - 2 * _need(F.col("u_n"), F.col("v_n"), percent)
+    return both.where(apart <= most).select("u", "v")
 
 
 def _repeated(prefixes: DataFrame, repeated) -> DataFrame:
@@ -245,9 +261,10 @@ def _repeated(prefixes: DataFrame, repeated) -> DataFrame:
             kept = np.concatenate(([0], np.cumsum(keep)))[ends].astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(kept), pa.array(x[keep], t)) for x, t in ((place, pa.int32()), (tokens, pa.int64()))]
             out = pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), *lists], names=["node", "n", "l", "copies", "pos", "tokens"])
+            out = out.append_column("parity", b.column(5))
             yield out.filter(pa.array(np.diff(kept) > 0))
 
-    return prefixes.mapInArrow(run, "node bigint, n int, l int, copies boolean, pos array<int>, tokens array<bigint>")
+    return prefixes.mapInArrow(run, "node bigint, n int, l int, copies boolean, pos array<int>, tokens array<bigint>, parity array<bigint>")
 
 
 def _one_each(rows: DataFrame) -> DataFrame:
@@ -307,7 +324,7 @@ def _star_pairs(met: DataFrame, percent: int) -> DataFrame:
     return best.select(F.least("node", "lead").alias("u"), F.greatest("node", "lead").alias("v")).distinct()
 
 
-def _rest_pairs(short: DataFrame, labelled: DataFrame, percent: int, step: float = 1.02) -> DataFrame:
+def _rest_pairs(short: DataFrame, labelled: DataFrame, percent: int, step: float = 1.05) -> DataFrame:
     """Pairs of nodes with different labels that share enough of their prefixes.
 
     Nodes meet at shingles in their first ``n - need + 1`` places, of which one
@@ -388,7 +405,7 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
     copies = spark.sparkContext.broadcast(bit_filter(nodes.where("copies > 1"), "node"))
     table = spark.sparkContext.broadcast(freq.astype(np.int32) if freq.max(initial=0) < 1 << 31 else freq)
     prefixes = stored(texts.mapInArrow(_prefixes(words, percent, table, float(freq.mean()), copies),
-                                       "node bigint, n int, l int, copies boolean, tokens array<bigint>"), "prefixes")
+                                       "node bigint, n int, l int, copies boolean, tokens array<bigint>, parity array<bigint>"), "prefixes")
     tokens = stored(prefixes.select(F.explode("tokens").alias("token")).groupBy("token").count().where("count > 1").select("token"), "tokens")
     repeated = spark.sparkContext.broadcast(bit_filter(tokens, "token"))
     short = stored(_one_each(_repeated(prefixes, repeated)), "short")
@@ -399,10 +416,10 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
         "token", "c", "lead", F.shiftright("o", 20).bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("lead_n"), F.shiftright("o", 44).cast("int").alias("lead_pos"))
     met = stored(flat.join(lead, "token"), "met")
 
-    star = _checked(_star_pairs(met, percent), texts, words, copies, percent, "star")
+    star = _checked(_may_be_near(_star_pairs(met, percent), short, percent), texts, words, copies, percent, "star")
     label = connected_components(star.where("linked").select("u", "v"))
     labelled = met.drop("lead", "lead_n", "lead_pos").join(label, "node", "left").withColumn("label", F.coalesce("root", "node"))
-    rest = _rest_pairs(short, labelled, percent).join(star.select("u", "v"), ["u", "v"], "left_anti")
+    rest = _may_be_near(_rest_pairs(short, labelled, percent), short, percent).join(star.select("u", "v"), ["u", "v"], "left_anti")
     more = _checked(rest, texts, words, copies, percent, "rest").where("linked").select("u", "v")
     label = connected_components(label.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievekit.llm.components import connected_components
-from sievekit.llm.ngram_join import MOST_MATCHES, SLOT_BITS, chosen_prefix, keep_one_each, need_of, ngram_join, shingle_set
+from sievekit.llm.ngram_join import MOST_MATCHES, SLOT_BITS, chosen_prefix, keep_one_each, need_of, ngram_join, parities, shingle_set
 
 
 def shingles(t, words=4):
@@ -103,6 +103,15 @@ def test_prefix_theorem():
             assert both >= need_of(len(s), len(t), 85)
 
 
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        s = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 900)).astype(np.uint64))
+        t = np.unique(np.concatenate([s[rng.random(len(s)) < 0.9], rng.integers(0, 1 << 63, rng.integers(0, 60)).astype(np.uint64)]))
+        apart = sum(int(x).bit_count() for x in (parities(s) ^ parities(t)).view(np.uint64))
+        assert apart <= len(np.setxor1d(s, t))
+
+
 def test_costly_prefixes_are_longer():
     s = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 100).astype(np.uint64))
     rare, common = np.ones(1 << SLOT_BITS), np.full(1 << SLOT_BITS, 5000)
