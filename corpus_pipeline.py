@@ -28,8 +28,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest id."""
-    return keep_one_each(docs)
+    """One document of each group of near copies (five-word shingles, similarity
+    of 0.8 or more) stays, that with the smallest id."""
+    return keep_one_each(docs, words=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

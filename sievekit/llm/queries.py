@@ -121,7 +121,7 @@ QUERIES["op9_document_fingerprints"] = op9_document_fingerprints
 
 
 def op2_ngram_jaccard_join(spark, sf_dir):
-    return ngram_join(read(spark, sf_dir, "documents")).drop("component", "text_key")
+    return ngram_join(read(spark, sf_dir, "documents"), words=4, percent=85).drop("component", "text_key")
 
 
 QUERIES["op2_ngram_jaccard_join"] = op2_ngram_jaccard_join

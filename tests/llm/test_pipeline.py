@@ -43,3 +43,16 @@ def test_run_and_empty_table(spark, tmp_path):
     for t in ("documents", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").where("false").write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_at_five_words(spark, docs_of):
+    """5-word similarity of 0.80 to 0.85, as a replaced tail and as scattered edits."""
+    words = [f"w{k}" for k in range(200)]
+    tail = words[:179] + [f"t{k}" for k in range(21)]
+    far = words[:170] + [f"f{k}" for k in range(30)]
+    other = [f"o{k}" for k in range(190)]
+    edited = [f"x{k}" if k in (20, 70, 120, 170) else w for k, w in enumerate(other)]
+    rows = [(k, " ".join(t)) for k, t in enumerate((words, tail, far, other, edited))]
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs_of(rows), SF).collect()}
+    assert kept == {i for i, _, c in test_ngram_join.brute(rows, percent=80, words=5) if i == c} == {0, 2, 3}
+    assert {i for i, _, c in test_ngram_join.brute(rows) if i == c} == {0, 1, 2, 3, 4}
