@@ -755,28 +755,56 @@ def _scores_sql(join="JOIN"):
             f"true AS prediction_follows FROM documents d {join} labels l ON l.doc_id = d.doc_id")
 
 
+def _scores(scored):
+    """The operators' whole result: no SQL can say what a model predicts."""
+    return scored.select("doc_id", "split", "label", "prediction", "score")
+
+
 @_register("train_forest", _scores_sql())
 def q_train_forest(spark, sf):
     x, model = _fit_forest(spark, sf)
     return _checked_scores(tr.score_rows(model, x))
 
 
-@_register("train_boosted", _scores_sql())
-def q_train_boosted(spark, sf):
+@_register("train_forest_scores")
+def q_train_forest_scores(spark, sf):
+    x, model = _fit_forest(spark, sf)
+    return _scores(tr.score_rows(model, x))
+
+
+def _fit_boosted(spark, sf):
     x = _train_frame(spark, sf)
     pos_w = tr.positive_weight(x.filter(F.col("split") == "train"), "label")
     x = x.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(pos_w)).otherwise(F.lit(1.0)))
     model = tr.train_boosted(x.filter(F.col("split") == "train"), weight_col="weight", max_iter=150,
                              max_depth=6, step_size=0.1, subsampling_rate=0.8, feature_subset="0.8")
+    return x, model
+
+
+@_register("train_boosted", _scores_sql())
+def q_train_boosted(spark, sf):
+    x, model = _fit_boosted(spark, sf)
     return _checked_scores(tr.score_rows(model, x))
 
 
+@_register("train_boosted_scores")
+def q_train_boosted_scores(spark, sf):
+    x, model = _fit_boosted(spark, sf)
+    return _scores(tr.score_rows(model, x))
+
+
 @_register("score_rows", _scores_sql("LEFT JOIN"))
 def q_score_rows(spark, sf):
     x, model = _fit_forest(spark, sf, num_trees=50, all_documents=True)
     return _checked_scores(tr.score_rows(model, x))
 
 
+@_register("score_rows_scores")
+def q_score_rows_scores(spark, sf):
+    x, model = _fit_forest(spark, sf, num_trees=50, all_documents=True)
+    return _scores(tr.score_rows(model, x))
+
+
 SEARCH_SPACE = {"numTrees": [50, 100, 150, 200], "maxDepth": [10, 15, 20, 25, 30],
                 "minInstancesPerNode": [1, 2, 4], "featureSubsetStrategy": ["sqrt", "log2", "all"]}
 
@@ -863,14 +891,23 @@ def q_run_log(spark, sf):
     return rows.join(names, "parent_id", "left").select("run_name", "parent_name", "kind", "key", F.round("value", 9).alias("value"), "text")
 
 
-@_register("save_model", "SELECT d.doc_id, true AS same_score FROM documents d JOIN labels l ON l.doc_id = d.doc_id")
-def q_save_model(spark, sf):
+def _saved_and_loaded(spark, sf):
     x, model = _fit_forest(spark, sf, num_trees=20)
     path = scratch_path(spark, "model")
     tr.save_model(model, path, x.schema)
     before = tr.score_rows(model, x).select("doc_id", F.col("score").alias("before"))
-    after = tr.score_rows(tr.load_model(path, x), x).select("doc_id", "score")
-    return after.join(before, "doc_id").select("doc_id", (F.col("score") == F.col("before")).alias("same_score"))
+    after = tr.score_rows(tr.load_model(path, x), x).select("doc_id", "label", "prediction", "score")
+    return after.join(before, "doc_id").withColumn("same_score", F.col("score") == F.col("before")).drop("before")
+
+
+@_register("save_model", "SELECT d.doc_id, true AS same_score FROM documents d JOIN labels l ON l.doc_id = d.doc_id")
+def q_save_model(spark, sf):
+    return _saved_and_loaded(spark, sf).select("doc_id", "same_score")
+
+
+@_register("save_model_scores")
+def q_save_model_scores(spark, sf):
+    return _saved_and_loaded(spark, sf)
 
 
 @_register("compare_models", f"""SELECT 'weighted_rules' AS run_name, * FROM {_metrics_sql('prediction', 'score')}

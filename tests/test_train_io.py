@@ -1,5 +1,6 @@
 import os
 
+import __spark_entry__ as E
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,3 +182,41 @@ def test_scratch_is_deleted_when_asked(spark):
     assert df.count() == 10 and os.path.isdir(path)
     assert clear_scratch(spark) >= 1
     assert not os.path.exists(path)
+
+
+@pytest.fixture(scope="module")
+def separable_tables(spark, tmp_path_factory):
+    """Toxic documents shout; a third of the rows is toxic; every tenth has no label."""
+    sf = str(tmp_path_factory.mktemp("separable"))
+    texts = [(k, f"BAD WORDS!!! {k} " * 6 if k % 3 == 0 else f"some quiet words number {k} of a long and calm text") for k in range(240)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{sf}/documents.parquet")
+    labels = [(k, int(k % 3 == 0)) for k in range(240) if k % 10]
+    spark.createDataFrame(labels, "doc_id bigint, toxic int").write.parquet(f"{sf}/labels.parquet")
+    return sf
+
+
+def _held_out_auc(rows):
+    """Share of (toxic, other) pairs of held-out rows in the right order, ties as half."""
+    held = [r for r in rows if r["split"] != "train"]
+    pos, neg = ([r["score"] for r in held if r["doc_id"] % 3 == 0], [r["score"] for r in held if r["doc_id"] % 3])
+    assert pos and neg
+    return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+
+
+@pytest.mark.parametrize("name", ["train_forest_scores", "train_boosted_scores", "score_rows_scores"])
+def test_queries_return_scores(spark, separable_tables, monkeypatch, name):
+    boosted = tr.train_boosted
+    monkeypatch.setattr(E.tr, "train_boosted", lambda x, **o: boosted(x, **{**o, "max_iter": 5}))
+    out = E.queries()[name](spark, separable_tables)
+    assert out.columns == ["doc_id", "split", "label", "prediction", "score"] and name not in E.oracle_sql()
+    rows = out.collect()
+    assert len(rows) == len({r["doc_id"] for r in rows}) == (240 if name == "score_rows_scores" else 216)
+    assert _held_out_auc(rows) > 0.95
+    assert all(0 <= r["score"] <= 1 and r["prediction"] == (r["score"] > 0.5) for r in rows)
+
+
+def test_saved_model_query_returns_scores(spark, separable_tables):
+    rows = E.queries()["save_model_scores"](spark, separable_tables).collect()
+    assert len(rows) == 216 and all(r["same_score"] for r in rows)
+    assert all(r["prediction"] == r["label"] == (r["doc_id"] % 3 == 0) for r in rows)
+    assert len({r["score"] for r in rows}) > 1
