@@ -809,8 +809,8 @@ SEARCH_SPACE = {"numTrees": [50, 100, 150, 200], "maxDepth": [10, 15, 20, 25, 30
                 "minInstancesPerNode": [1, 2, 4], "featureSubsetStrategy": ["sqrt", "log2", "all"]}
 
 
-@_register("param_search", "SELECT CAST(range AS INTEGER) AS trial, true AS auc_in_unit FROM range(20)")
-def q_param_search(spark, sf):
+def _searched(spark, sf):
+    """All rows, the best setting's model fitted again, and the trials."""
     from pyspark.ml.classification import RandomForestClassifier
     x = tr.with_class_weights(_train_frame(spark, sf), "label", classes=(0.0, 1.0))
     parallel = int(spark.conf.get("spark.sievekit.parallelFits", "4"))
@@ -822,23 +822,48 @@ def q_param_search(spark, sf):
         return RandomForestClassifier(seed=42, weightCol="weight", maxMemoryInMB=budget, cacheNodeIds=True, **p)
     train, val = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "val")
     parts = _parts(spark)
-    _, trials = tr.param_search(train, val, build, SEARCH_SPACE, n_trials=20, seed=42, parallelism=parallel,
-                                partitions=parts and max(1, parts // parallel),
-                                refit=cut_lineage(train.unionByName(val), "refit"))
+    model, trials = tr.param_search(train, val, build, SEARCH_SPACE, n_trials=20, seed=42, parallelism=parallel,
+                                    partitions=parts and max(1, parts // parallel),
+                                    refit=cut_lineage(train.unionByName(val), "refit"))
+    return x, model, trials
+
+
+@_register("param_search", "SELECT CAST(range AS INTEGER) AS trial, true AS auc_in_unit FROM range(20)")
+def q_param_search(spark, sf):
+    _, _, trials = _searched(spark, sf)
     return trials.select("trial", F.col("val_roc_auc").between(0.0, 1.0).alias("auc_in_unit"))
 
 
+@_register("param_search_trials")
+def q_param_search_trials(spark, sf):
+    """Each trial, which is best, and the AUC on the test rows of the best
+    setting's model (null for the others, which are not kept)."""
+    x, model, trials = _searched(spark, sf)
+    test_auc = ev.roc_auc(tr.score_rows(model, x.filter(F.col("split") == "test")), "label", "score").first()["auc"]
+    best = F.row_number().over(Window.partitionBy().orderBy(F.desc_nulls_last("val_roc_auc"), "trial")) == 1  # 20 rows
+    return trials.withColumn("best", best).withColumn("test_roc_auc", F.when(F.col("best"), F.lit(test_auc).cast("double")))
+
+
+def _top_20(spark, sf):
+    _, model = _fit_forest(spark, sf, num_trees=50)
+    return tr.top_importances(model, tr.feature_names([f"calc_{p}" for p in DESCRIPTORS], FP_BITS), 20)
+
+
 @_register("top_importances", "SELECT CAST(range + 1 AS INTEGER) AS rank, true AS in_order, true AS in_unit FROM range(20)")
 def q_top_importances(spark, sf):
-    _, model = _fit_forest(spark, sf, num_trees=50)
-    names = tr.feature_names([f"calc_{p}" for p in DESCRIPTORS], FP_BITS)
     w = Window.partitionBy().orderBy(F.desc("importance"), "feature")  # 20 rows
-    top = tr.top_importances(model, names, 20).withColumn("before", F.lag("importance").over(w))
+    top = _top_20(spark, sf).withColumn("before", F.lag("importance").over(w))
     total = F.sum("importance").over(w.rowsBetween(Window.unboundedPreceding, 0))
     return top.select(F.row_number().over(w).alias("rank"), F.coalesce(F.col("before") >= F.col("importance"), F.lit(True)).alias("in_order"),
                       (total <= 1.0 + 1e-9).alias("in_unit"))
 
 
+@_register("top_importances_features")
+def q_top_importances_features(spark, sf):
+    w = Window.partitionBy().orderBy(F.desc("importance"), "feature")  # 20 rows
+    return _top_20(spark, sf).select(F.row_number().over(w).alias("rank"), "feature", "importance")
+
+
 _RUNS = [("weighted_rules", "prediction", "score"), ("linear_rules", "prediction_b", "score_b")]
 
 

@@ -1,3 +1,4 @@
+import json
 import os
 
 import __spark_entry__ as E
@@ -220,3 +221,25 @@ def test_saved_model_query_returns_scores(spark, separable_tables):
     assert len(rows) == 216 and all(r["same_score"] for r in rows)
     assert all(r["prediction"] == r["label"] == (r["doc_id"] % 3 == 0) for r in rows)
     assert len({r["score"] for r in rows}) > 1
+
+
+def test_search_query_returns_settings_and_best(spark, separable_tables, monkeypatch):
+    monkeypatch.setattr(E, "SEARCH_SPACE", {"numTrees": [1, 4], "maxDepth": [1, 3]})
+    out = E.queries()["param_search_trials"](spark, separable_tables)
+    assert out.columns == ["trial", "params", "val_roc_auc", "best", "test_roc_auc"] and "param_search_trials" not in E.oracle_sql()
+    rows = sorted(out.collect(), key=lambda r: r["trial"])
+    assert [r["trial"] for r in rows] == [0, 1, 2, 3] and all(0 <= r["val_roc_auc"] <= 1 for r in rows)
+    assert {tuple(json.loads(r["params"]).items()) for r in rows} == {(("maxDepth", d), ("numTrees", n)) for d in (1, 3) for n in (1, 4)}
+    best = max(rows, key=lambda r: (r["val_roc_auc"], -r["trial"]))
+    assert [r["trial"] for r in rows if r["best"]] == [best["trial"]] and best["test_roc_auc"] > 0.95
+    assert all(r["test_roc_auc"] is None for r in rows if not r["best"])
+
+
+def test_importances_query_returns_features(spark, separable_tables):
+    out = E.queries()["top_importances_features"](spark, separable_tables)
+    assert out.columns == ["rank", "feature", "importance"] and "top_importances_features" not in E.oracle_sql()
+    rows = sorted(out.collect(), key=lambda r: r["rank"])
+    assert [r["rank"] for r in rows] == list(range(1, 21)) and len({r["feature"] for r in rows}) == 20
+    values = [r["importance"] for r in rows]
+    assert values == sorted(values, reverse=True) and 0 < sum(values) <= 1 + 1e-9
+    assert {r["feature"] for r in rows} & {"calc_upper_share", "calc_punct_share", "calc_distinct_token_share"}
