@@ -273,7 +273,7 @@ def _one_each(rows: DataFrame) -> DataFrame:
 
 
 def _need(n: Column, m: Column, percent: int) -> Column:
-    return F.floor((percent * (n + m) + (99 + percent)) / (100 + percent)).cast("int")
+    return F.floor((percent * (n.cast("bigint") + m) + (99 + percent)) / (100 + percent)).cast("int")
 
 
 def _sets(texts: DataFrame, words: int, wanted, copies) -> DataFrame:
@@ -311,6 +311,14 @@ def _bound(c: Column, n: Column, last: Column, m: Column, other_last: Column) ->
     return c + F.least(n - last, m - other_last) - 1
 
 
+def _leaders(flat: DataFrame) -> DataFrame:
+    """For each shingle that several prefixes have: their number, and the node
+    in which it comes first, of equals the smallest set, then node."""
+    first = F.min(F.struct("pos", "n", "node"))
+    return flat.groupBy("token").agg(F.count(F.lit(1)).alias("c"), first.alias("o")).where("c > 1").select(
+        "token", "c", F.col("o.node").alias("lead"), F.col("o.n").alias("lead_n"), F.col("o.pos").alias("lead_pos"))
+
+
 def _star_pairs(met: DataFrame, percent: int) -> DataFrame:
     """For each node the leader with which it shares most of its prefix, if that
     can be enough; other pairs are left to ``_rest_pairs``."""
@@ -337,7 +345,7 @@ def _rest_pairs(short: DataFrame, labelled: DataFrame, percent: int, step: float
     shared one must suffice."""
     klass = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(step))).cast("int")
     n, pos = F.col("n"), F.col("pos")
-    least = F.ceil(n * percent / 100).cast("int")
+    least = F.ceil(n.cast("bigint") * percent / 100).cast("int")
     labelled = labelled.where(pos <= n - least)
     rare = labelled.where(F.col("c") <= FEW).select("token", "node", "label", "n", "pos")
     labelled = labelled.where(F.col("c") > FEW)
@@ -410,11 +418,7 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
     repeated = spark.sparkContext.broadcast(bit_filter(tokens, "token"))
     short = stored(_one_each(_repeated(prefixes, repeated)), "short")
     flat = short.select("node", "n", F.inline(F.arrays_zip("pos", "tokens"))).withColumnRenamed("tokens", "token")
-    order = F.col("pos").cast("bigint") * (1 << 44) + F.col("n").cast("bigint") * (1 << 20) + F.col("node").bitwiseAND(F.lit((1 << 20) - 1))
-    lead = flat.select("token", "node", order.alias("o")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("c"), F.min("o").alias("o"), F.min_by("node", "o").alias("lead")).where("c > 1").select(
-        "token", "c", "lead", F.shiftright("o", 20).bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("lead_n"), F.shiftright("o", 44).cast("int").alias("lead_pos"))
-    met = stored(flat.join(lead, "token"), "met")
+    met = stored(flat.join(_leaders(flat), "token"), "met")
 
     star = _checked(_may_be_near(_star_pairs(met, percent), short, percent), texts, words, copies, percent, "star")
     label = connected_components(star.where("linked").select("u", "v"))

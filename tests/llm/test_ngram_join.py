@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievekit.llm.components import connected_components
-from sievekit.llm.ngram_join import MOST_MATCHES, SLOT_BITS, chosen_prefix, keep_one_each, need_of, ngram_join, parities, shingle_set
+from sievekit.llm.ngram_join import MOST_MATCHES, SLOT_BITS, _leaders, _need, chosen_prefix, keep_one_each, need_of, ngram_join, parities, shingle_set
 
 
 def shingles(t, words=4):
@@ -141,3 +141,13 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
     assert got == {x: find(x) for x in got} and {x for a, b in links if a != b for x in (a, b)} == got.keys()
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_leaders_and_bounds_of_very_long_texts(spark):
+    """Places from 2**19 on and sizes from 2**24 on."""
+    rows = [(1, 5, 600_000, 20_000_000), (1, 4, 600_000, 20_000_000), (1, 3, 600_001, 4), (2, 7, 1, 1 << 24), (2, 8, 1, (1 << 24) - 1), (3, 9, 0, 1)]
+    flat = spark.createDataFrame(rows, "token bigint, node bigint, pos int, n int")
+    got = {r["token"]: tuple(r)[1:] for r in _leaders(flat).select("token", "c", "lead", "lead_n", "lead_pos").collect()}
+    assert got == {1: (2 + 1, 4, 20_000_000, 600_000), 2: (2, 8, (1 << 24) - 1, 1)}
+    big = flat.where("n = 20000000").select(_need(F.col("n"), F.col("n"), 85).alias("need")).first()["need"]
+    assert big == need_of(20_000_000, 20_000_000, 85)
