@@ -15,18 +15,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Symbols: 0 is a word boundary, 1-26 a-z, 27 and up other letters, shared by code point.
-SYMBOLS = 40
+#: Symbols: 0 is a word boundary, 1-26 a-z, any other letter its code point.
+_BITS = 21
+#: Trigrams of the first so many letters that a process meets are remembered.
+_KNOWN = 64
 
 
 def _symbol_table() -> np.ndarray:
-    table = np.zeros(0x10000, np.uint8)
-    for c in range(0x10000):
-        ch = chr(c)
-        if "a" <= ch <= "z":
-            table[c] = c - 96
-        elif ch.isalpha():
-            table[c] = 27 + c % (SYMBOLS - 27)
+    table = np.zeros(0x110000, np.int32)
+    for c in range(0x110000):
+        if chr(c).isalpha():
+            table[c] = c
+    table[97:123] = np.arange(1, 27)
     return table
 
 
@@ -40,36 +40,60 @@ def trigram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if not text:
         return none
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    high = points > 0xFFFF
-    s = _TABLE[np.where(high, 0, points)] if high.any() else _TABLE[points]
-    if high.any():
-        s[high] = [27 + int(c) % (SYMBOLS - 27) if chr(c).isalpha() else 0 for c in points[high]]
+    s = _TABLE[points]
     if not s.any():
         return none
     s = np.concatenate(([0], s, [0])).astype(np.int64)
     keep = np.ones(len(s), bool)
     keep[1:] = (s[1:] != 0) | (s[:-1] != 0)
     s = s[keep]
-    codes = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
-    counts = np.bincount(codes)
-    at = np.flatnonzero(counts)
-    return at, counts[at]
+    return np.unique(((s[:-2] << _BITS) + s[1:-1] << _BITS) + s[2:], return_counts=True)
 
 
 class Space:
-    """Vectors of letters and, as they are met, of trigrams."""
+    """Vectors of letters, each from its code point alone, made when met, and
+    of trigrams of the letters met first."""
 
     def __init__(self, dims: int, seed: int):
-        self.letters = np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (SYMBOLS, dims))
-        self.known = np.full(SYMBOLS ** 3, -1, np.int32)
+        self.dims, self.seed = dims, seed
+        base = np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (27, dims))
+        self.letters = np.concatenate([base, np.zeros((_KNOWN - 27, dims), np.int8)])
+        self.place = np.full(0x110000, -1, np.int32)
+        self.place[:27] = np.arange(27)
+        self.met = 27
+        self.known = np.full(_KNOWN ** 3, -1, np.int32)
         self.vectors = np.zeros((1024, dims), np.int8)
         self.n = 0
 
+    def _places(self, symbols: np.ndarray) -> np.ndarray:
+        """Rows of ``letters``."""
+        for c in np.unique(symbols[self.place[symbols] < 0]).tolist():
+            if self.met == len(self.letters):
+                self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
+            self.letters[self.met] = np.random.default_rng([self.seed, c]).choice(np.array([-1, 1], np.int8), self.dims)
+            self.place[c] = self.met
+            self.met += 1
+        return self.place[symbols]
+
+    def _bound(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return np.roll(self.letters[a], 2, axis=1) * np.roll(self.letters[b], 1, axis=1) * self.letters[c]
+
+    def total(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The sum of the trigrams' vectors."""
+        low = (1 << _BITS) - 1
+        abc = [self._places(x) for x in (codes >> 2 * _BITS, codes >> _BITS & low, codes & low)]
+        kept = np.maximum(np.maximum(abc[0], abc[1]), abc[2]) < _KNOWN
+        a, b, c = (x[kept].astype(np.int64) for x in abc)
+        out = counts[kept].astype(np.float32) @ self.rows((a * _KNOWN + b) * _KNOWN + c).astype(np.float32)
+        rest, n = [x[~kept] for x in abc], counts[~kept].astype(np.float32)
+        for k in range(0, len(n), 4096):
+            out += n[k:k + 4096] @ self._bound(*(x[k:k + 4096] for x in rest)).astype(np.float32)
+        return out
+
     def rows(self, codes: np.ndarray) -> np.ndarray:
         new = codes[self.known[codes] < 0]
         if len(new):
-            a, b, c = new // SYMBOLS ** 2, new // SYMBOLS % SYMBOLS, new % SYMBOLS
-            made = np.roll(self.letters[a], 2, axis=1) * np.roll(self.letters[b], 1, axis=1) * self.letters[c]
+            made = self._bound(new // _KNOWN ** 2, new // _KNOWN % _KNOWN, new % _KNOWN)
             while self.n + len(new) > len(self.vectors):
                 self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
             self.vectors[self.n:self.n + len(new)] = made
@@ -82,7 +106,7 @@ class Space:
         codes, counts = trigram_counts(text)
         if not len(codes):
             return None
-        return counts.astype(np.float32) @ self.rows(codes).astype(np.float32)
+        return self.total(codes, counts)
 
 
 _SPACES: dict[tuple[int, int], Space] = {}

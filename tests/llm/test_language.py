@@ -42,3 +42,14 @@ def test_same_in_any_partitioning(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     a, b = learn_languages(docs.repartition(1)), learn_languages(docs.repartition(7))
     assert all((a[k] == b[k]).all() for k in a) and sorted(a) == sorted(b)
+
+
+def test_no_two_letters_share_a_vector(spark):
+    letters = "äñöéüßабгдαβγعربسםש日本語𐐨" + "".join(map(chr, range(0x4E00, 0x4E64)))
+    a, b = Space(512, 11), Space(512, 11)
+    first, again = {c: a.bundle(c) for c in letters}, {c: b.bundle(c) for c in reversed(letters)}
+    assert len({v.tobytes() for v in first.values()}) == len(letters)
+    assert all((first[c] == again[c]).all() for c in letters)  # in any order of meeting
+    docs = spark.createDataFrame([("x", "ä ä ä"), ("y", "ñ ñ ñ"), ("z", "日本"), ("u", "本日")], "lang string, text string")
+    got = predict_languages(docs, learn_languages(docs)).collect()
+    assert all(r["lang_pred"] == r["lang"] and r["score"] > 0.99 for r in got)
