@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat import chat_digest
 from .common import fold_of, read
 from .decontaminate import contamination_digest
+from .divergence import divergence_audit
 from .fingerprints import fingerprint_digest
 from .language import learn_languages, predict_languages
 from .ngram_join import ngram_join
@@ -152,3 +153,31 @@ i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
   sha256(coalesce(i.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id"""
+
+
+def op11_source_divergence(spark, sf_dir):
+    return divergence_audit(read(spark, sf_dir, "documents"))
+
+
+QUERIES["op11_source_divergence"] = op11_source_divergence
+
+_SHARE = "1 + (1000000000::HUGEINT * ({0} + 1)) // nullif({1} + l.v, 0)"
+_APART = "(({0} - {1}) * ({0} - {1})) // {1}"
+ORACLES["op11_source_divergence"] = f"""WITH
+d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(coalesce({_LOWER.format('text')}, ''), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+o AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM o GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY lang),
+c AS (SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN k ON o.lang = k.lang AND o.term = k.term GROUP BY ALL),
+g AS (SELECT g.lang, g.source, coalesce(any_value(l.v), 0) AS v, coalesce(sum(c.n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN l ON l.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL),
+s AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {_SHARE.format('coalesce(c.n, 0)', 'g.total')} AS p,
+  1 + (1000000000::HUGEINT * (k.lang_n + 1)) // (l.lang_total + l.v) AS q
+  FROM g JOIN k ON k.lang = g.lang JOIN l ON l.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum({_APART.format('a.p', 'b.p')}) AS value FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, {_APART.format('p', 'q')} AS value FROM s WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200"""
