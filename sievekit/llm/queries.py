@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from .chat import chat_digest
-from .common import fold_of, read
+from .common import fold_of, read, stored
 from .decontaminate import contamination_digest
 from .divergence import divergence_audit
 from .fingerprints import fingerprint_digest
@@ -18,6 +18,7 @@ from .packing import pack_documents
 from .quality import learn_quality, score_quality
 from .secrets import secrets_digest
 from .toxicity import learn_lexicon, score_toxicity
+from .trie import branched, prefix_trie, turn_sequences
 from .urls import judge_urls
 
 QUERIES, ORACLES = {"pipeline": corpus_pipeline.run}, {}
@@ -181,3 +182,27 @@ pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.
 terms AS (SELECT lang, source, 'term' AS part, term AS item, {_APART.format('p', 'q')} AS value FROM s WHERE n > 0 AND p > q),
 r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pairs UNION ALL FROM terms))
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200"""
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie(branched(stored(turn_sequences(read(spark, sf_dir, "conversations")), "turns")))
+
+
+QUERIES["op13_prefix_trie"] = op13_prefix_trie
+
+#: CRC-32 of an ASCII string, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+ORACLES["op13_prefix_trie"] = f"""WITH
+own AS (SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, t, conv_id - conv_id % 100 AS base, CAST({_CRC32.format('CAST(conv_id AS VARCHAR)')} % 6 AS BIGINT) AS h FROM own),
+b AS (SELECT h.conv_id, list_concat(coalesce(o.t, [])[1:h.h], h.t[h.h + 1:]) AS t FROM h LEFT JOIN own o ON o.conv_id = h.base),
+n AS (SELECT conv_id, len(t) AS len, unnest(range(0, len(t) + 1)) AS d, unnest(list_transform(range(0, len(t) + 1), lambda i: t[1:i])) AS pre FROM b),
+node AS (SELECT pre, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len = d), '') AS ends FROM n GROUP BY pre, d),
+kid AS (SELECT pre[1:d - 1] AS pre, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+x AS (SELECT node.*, coalesce(kid.n_children, 0) AS n_children, CASE WHEN node.d = 0 THEN 0 ELSE (n_convs - 1) * length(node.pre[node.d].t) END AS own
+  FROM node LEFT JOIN kid ON kid.pre = node.pre AND kid.d = node.d),
+up AS (SELECT d AS below, n_children, own, unnest(range(0, d + 1)) AS d, unnest(list_transform(range(0, d + 1), lambda i: pre[1:i])) AS pre FROM x),
+sub AS (SELECT pre, d, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved FROM up GROUP BY pre, d)
+SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n_convs, x.n_children, sub.n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM x JOIN sub ON sub.pre = x.pre AND sub.d = x.d LEFT JOIN node p ON x.d > 0 AND p.d = x.d - 1 AND p.pre = x.pre[1:x.d - 1]"""
