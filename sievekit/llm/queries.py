@@ -7,6 +7,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from .bpe import token_digest
 from .chat import chat_digest
 from .common import fold_of, read, stored
 from .decontaminate import contamination_digest
@@ -206,3 +207,10 @@ up AS (SELECT d AS below, n_children, own, unnest(range(0, d + 1)) AS d, unnest(
 sub AS (SELECT pre, d, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved FROM up GROUP BY pre, d)
 SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n_convs, x.n_children, sub.n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
 FROM x JOIN sub ON sub.pre = x.pre AND sub.d = x.d LEFT JOIN node p ON x.d > 0 AND p.d = x.d - 1 AND p.pre = x.pre[1:x.d - 1]"""
+
+
+def op12_bpe_tokens(spark, sf_dir):
+    return token_digest(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES["op12_bpe_tokens"] = op12_bpe_tokens
