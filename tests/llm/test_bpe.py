@@ -65,7 +65,14 @@ def test_round_trip_and_any_ids(spark, tok, docs_of):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
-def test_a_word_is_encoded_once_and_texts_are_not_shuffled(spark, docs_of):
+def test_pieces_cover_the_vocabulary(spark):
     assert piece_table(spark, PATH).agg(F.count("id"), F.countDistinct("id")).first() == (50_257, 50_257)
-    plan = encode_documents(docs_of([(1, "some words and some words")]), PATH)._jdf.queryExecution().executedPlan().toString()
-    assert "regexp_extract_all" not in plan  # the texts were read into blocks before
+
+
+def test_texts_do_not_move_and_changing_rows_are_an_error(spark, docs_of):
+    docs = docs_of([(k, f"some words {k}") for k in range(50)])
+    plan = encode_documents(docs, PATH)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Exchange hashpartitioning(bucket" in plan and "Exchange hashpartitioning(block" in plan
+    unsteady = spark.range(50).select(F.col("id").alias("doc_id"), F.uuid().alias("text"))
+    with pytest.raises(Exception, match="changed between two readings"):
+        encode_documents(unsteady, PATH).collect()
