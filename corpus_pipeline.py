@@ -18,6 +18,7 @@ from sievekit.llm.language import learn_languages, predict_languages
 from sievekit.llm.ngram_join import keep_one_each
 from sievekit.llm.packing import pack_documents
 from sievekit.llm.secrets import redact_secrets
+from sievekit.session import clear_scratch, scratch_made
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +57,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again by the next."""
+    """All stages over ``documents``, each written and read again by the next.
+    What a stage wrote on its way goes once its result is written."""
     docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
+    earlier = scratch_made()
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs, name)
+            clear_scratch(spark, [p for p in scratch_made() if p not in earlier and p != docs.scratch])
     return docs

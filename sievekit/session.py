@@ -65,11 +65,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _MADE: list[str] = []
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete all scratch folders handed out so far, once the results that
-    read them have been written; returns how many there were."""
+def scratch_made() -> list[str]:
+    """The scratch paths handed out and not cleared."""
+    return [*_MADE]
+
+
+def clear_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete scratch folders (all that were handed out, or these), once the
+    results that read them have been written; returns how many there were."""
     jvm, done = spark.sparkContext._jvm, 0
-    for path in [*_MADE]:
+    for path in scratch_made() if paths is None else paths:
         where = jvm.org.apache.hadoop.fs.Path(path)
         done += where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
         _MADE.remove(path)
