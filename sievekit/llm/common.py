@@ -8,10 +8,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievekit.session import scratch_path
+from sievekit.session import clear_scratch, scratch_path
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +24,43 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lineage is cut, and a lost executor re-reads files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    bound_batches(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing will read again."""
+    clear_scratch(df.sparkSession, [df.scratch])
+
+
+#: Bytes of an Arrow batch between Spark and its Python workers.
+MOST_BATCH = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``MOST_BATCH`` bytes for this session from now on,
+    unless a smaller bound is set: the default takes up to ten thousand whole
+    texts, which Spark and its worker hold several times over."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= MOST_BATCH:
+        spark.conf.set(name, str(MOST_BATCH))
+
+
+_HELD: dict = {}
+
+
+def held(key, make=None):
+    """What ``make`` gives, remembered by this Python worker until it asks for
+    something else: a worker that serves many operators holds one's tables."""
+    if key not in _HELD:
+        _HELD.clear()
+        pa.default_memory_pool().release_unused()
+        _HELD[key] = make() if make else None
+    return _HELD[key]
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,18 +69,29 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def one_of_each(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key in some order.  Every task sends on its own first
+    rows only, so that a key with very many rows is no load."""
+    return rows.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("nth = 1").drop("nth")
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+def parts_of(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, to bound what one step holds."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def id_text_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list]]:
     """Keys (Arrow) and texts (Python strings or None) of ``id_text`` rows, at most
-    1,000 rows at a time to bound what one step holds."""
-    for b in batches:
-        for at in range(0, b.num_rows, 1000):
-            part = b.slice(at, 1000)
-            yield part.column(0), part.column(1).to_pylist()
+    1,000 rows at a time."""
+    for part in parts_of(batches):
+        yield part.column(0), part.column(1).to_pylist()
 
 
 class WordHashes(dict):
@@ -60,13 +106,12 @@ class WordHashes(dict):
         return h
 
 
-_HASHES = WordHashes()
 #: Odd multipliers; a gram's hash is a sum of its words' hashes times powers of the first, mixed by the second.
 _MUL, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(held("word hashes", WordHashes).__getitem__, words), np.uint64, len(words))
 
 
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:

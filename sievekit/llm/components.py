@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     above and from below, until nothing changes; every step is an aggregation
     with map-side combining and an equi-join, written to the shared folder."""
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    before = None
+    before, last = None, None
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -22,6 +22,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         least = up.groupBy("u").agg(F.min("v").alias("m"))
         down = up.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = stored(down.select("e.*").where("u <> v").distinct(), "edges")
+        if last is not None:
+            discard(last)
+        last = edges
         now = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first()
         if now == before:
             break

@@ -142,6 +142,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
     scanned = id_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text")).mapInArrow(
         run, "doc_id bigint, text_key bigint, n_words bigint, hits array<struct<whole:int,hash:bigint,pos:int,left:int,near:string>>")
     scanned = stored(scanned.withColumn("row", F.monotonically_increasing_id()), "scanned")
+    seen.destroy()
 
     # extend every hit: words that agree before the run, and from its start on
     d, i, left, i_left = F.split("near", " "), F.split("i_near", " "), F.col("left"), F.col("i_left")

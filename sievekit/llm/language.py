@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import held, parts_of
+
 #: Symbols: 0 is a word boundary, 1-26 a-z, any other letter its code point.
 _BITS = 21
 #: Trigrams of the first so many letters that a process meets are remembered.
@@ -109,13 +111,8 @@ class Space:
         return self.total(codes, counts)
 
 
-_SPACES: dict[tuple[int, int], Space] = {}
-
-
 def space(dims: int, seed: int) -> Space:
-    if (dims, seed) not in _SPACES:
-        _SPACES[dims, seed] = Space(dims, seed)
-    return _SPACES[dims, seed]
+    return held(("space", dims, seed), lambda: Space(dims, seed))
 
 
 #: A training text's unit vector is rounded to this many steps, so that sums are whole numbers and exact in any order.
@@ -133,7 +130,7 @@ def learn_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
 
     def run(batches):
         sp, sums = space(dims, seed), {}
-        for b in batches:
+        for b in parts_of(batches):
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 v = sp.bundle(text)
                 if v is not None and (norm := np.linalg.norm(v)):
@@ -167,7 +164,7 @@ def predict_languages(docs: DataFrame, prototypes: dict[str, np.ndarray], text_c
 
     def run(batches):
         sp = space(dims, seed)
-        for b in batches:
+        for b in parts_of(batches):
             langs, scores = [], []
             for text in b.column(at).to_pylist():
                 v = sp.bundle(text) if names else None

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, id_text, id_text_batches, stored
+from .common import discard, gram_hashes, held, id_text, id_text_batches, stored
 from .components import connected_components
 
 #: The frequency table has 2**SLOT_BITS slots and travels in chunks.
@@ -39,36 +39,35 @@ FEW = 64
 MOST_BROADCAST = 1_000_000
 
 
-#: Fixed random numbers: one for each byte, and an odd multiplier.
-_RNG = np.random.default_rng(20240229)
-_BYTE = _RNG.integers(0, 1 << 64, 256, np.uint64)
-_STEP = np.uint64(0xD6E8FEB86659FD93)
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes hashed at a time.
 _BLOCK = 1 << 20
+#: The low k bytes of a 64-bit number.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_BY_LENGTH = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _powers(step: int, n: int) -> np.ndarray:
-    out = np.full(n, step, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_UP, _DOWN = _powers(int(_STEP), _BLOCK + 1), _powers(pow(int(_STEP), -1, 1 << 64), _BLOCK + 1)
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return h ^ h >> np.uint64(31)
 
 
 def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the words of up to ``_BLOCK`` bytes.  A word's hash
-    is the sum of its bytes' numbers times powers of the multiplier by place,
-    read off running sums."""
+    """Starts and hashes of the words of up to ``_BLOCK`` bytes.  A word of up to
+    eight bytes is one number, of up to sixteen two; they are mixed with its
+    length, one after the other.  Longer words are hashed by the library."""
     b = np.frombuffer(data, np.uint8)
     edge = np.flatnonzero(np.diff(np.concatenate(([True], _BLANK[b], [True]))))
     start, end = edge[::2], edge[1::2]
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[b] * _UP[:len(b)], dtype=np.uint64)))
-    h = (sums[end] - sums[start]) * _DOWN[start]
-    h ^= h >> np.uint64(31)
-    h *= np.uint64(0x94D049BB133111EB)
+    n = end - start
+    eight = np.ndarray((len(b) + 9,), "<u8", np.concatenate([b, np.zeros(16, np.uint8)]), strides=(1,))
+    h = _mixed(eight[start] & _LOW[np.minimum(n, 8)] ^ n.astype(np.uint64) * _BY_LENGTH)
+    more = np.flatnonzero(n > 8)
+    h[more] = _mixed(h[more] ^ eight[start[more] + 8] & _LOW[np.minimum(n[more] - 8, 8)])
+    for k in np.flatnonzero(n > 16).tolist():
+        h[k] = xxhash.xxh3_64_intdigest(data[start[k]:end[k]])
     return start, h
 
 
@@ -93,6 +92,7 @@ def _long_word_hashes(data: bytes) -> np.ndarray:
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; a text of fewer words is one
     shingle.  Short texts are hashed together, a block at a time."""
+    held(None)  # no other operator's tables are needed any more
     data = [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
     hashes: list = [None] * len(data)
     at = 0
@@ -148,18 +148,27 @@ _FIRST = ["doc_id", "text_key", "n", "node", "chunk", "lane", "counts"]
 
 
 def _summed(chunks: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds up the chunks of equal keys as they stream by."""
+    """Adds up the chunks of equal keys, which stream by one after the other."""
+    def one(key, counts):
+        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())],
+                                          names=["chunk", "lane", "counts"])
+
     def run(batches):
-        sums: dict[tuple, np.ndarray] = {}
+        last, total = None, None
         for b in batches:
-            for chunk, lane, data in zip(*(c.to_pylist() for c in b.columns)):
-                key = (chunk, lane) if "lane" in keys else (chunk, 0)
-                counts = np.frombuffer(zlib.decompress(data), np.int64)
-                sums[key] = sums[key] + counts if key in sums else counts
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.int32()), pa.array([k[1] for k in sums], pa.int32()),
-                                          pa.array([zlib.compress(v.tobytes(), 1) for v in sums.values()], pa.binary())], names=["chunk", "lane", "counts"])
+            for chunk, lane, data in zip(*b.columns):
+                key = (chunk.as_py(), lane.as_py() if "lane" in keys else 0)
+                counts = np.frombuffer(zlib.decompress(data.as_py()), np.int64)
+                if key != last:
+                    if last is not None:
+                        yield one(last, total)
+                    last, total = key, counts.copy()
+                else:
+                    total += counts
+        if last is not None:
+            yield one(last, total)
 
-    return chunks.select("chunk", "lane", "counts").repartition(*keys).mapInArrow(run, "chunk int, lane int, counts binary")
+    return chunks.select("chunk", "lane", "counts").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "chunk int, lane int, counts binary")
 
 
 def shingle_frequencies(first: DataFrame) -> np.ndarray:
@@ -302,7 +311,10 @@ def _checked(pairs: DataFrame, texts: DataFrame, words: int, copies, percent: in
     pairs = stored(pairs, f"{name}-pairs")
     wanted = pairs.sparkSession.sparkContext.broadcast(bit_filter(pairs.select(F.explode(F.array("u", "v")).alias("node")), "node"))
     sets = stored(_sets(texts, words, wanted, copies), f"{name}-sets")
-    return stored(_verified(pairs, sets, percent), name)
+    wanted.destroy()
+    out = stored(_verified(pairs, sets, percent), name)
+    discard(sets)
+    return out
 
 
 # --------------------------------------------------------------------- join
@@ -414,9 +426,12 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
     table = spark.sparkContext.broadcast(freq.astype(np.int32) if freq.max(initial=0) < 1 << 31 else freq)
     prefixes = stored(texts.mapInArrow(_prefixes(words, percent, table, float(freq.mean()), copies),
                                        "node bigint, n int, l int, copies boolean, tokens array<bigint>, parity array<bigint>"), "prefixes")
+    table.destroy()
     tokens = stored(prefixes.select(F.explode("tokens").alias("token")).groupBy("token").count().where("count > 1").select("token"), "tokens")
     repeated = spark.sparkContext.broadcast(bit_filter(tokens, "token"))
     short = stored(_one_each(_repeated(prefixes, repeated)), "short")
+    repeated.destroy()
+    discard(prefixes)
     flat = short.select("node", "n", F.inline(F.arrays_zip("pos", "tokens"))).withColumnRenamed("tokens", "token")
     met = stored(flat.join(_leaders(flat), "token"), "met")
 
@@ -425,6 +440,7 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
     labelled = met.drop("lead", "lead_n", "lead_pos").join(label, "node", "left").withColumn("label", F.coalesce("root", "node"))
     rest = _may_be_near(_rest_pairs(short, labelled, percent), short, percent).join(star.select("u", "v"), ["u", "v"], "left_anti")
     more = _checked(rest, texts, words, copies, percent, "rest").where("linked").select("u", "v")
+    copies.destroy()
     label = connected_components(label.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
     roots = label.join(nodes, "node").groupBy("root").agg(F.min("least").alias("component"))

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, id_text_batches
+from .common import held, id_text, id_text_batches, one_of_each
 
 _ENDS = str.maketrans("", "", ".,;:!?\"'()[]")
 
@@ -71,13 +71,10 @@ class Features:
         return u, np.bincount(back, values)
 
 
-_FEATURES: dict[int, Features] = {}
 
 
 def features(bits: int) -> Features:
-    if bits not in _FEATURES:
-        _FEATURES[bits] = Features(bits)
-    return _FEATURES[bits]
+    return held(("features", bits), lambda: Features(bits))
 
 
 @dataclass
@@ -130,7 +127,8 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n
 def learn_quality(docs: DataFrame, ratings: DataFrame, n_grades: int, where: Column | None = None, grade_col: str = "grade",
                   id_col: str = "doc_id", text_col: str = "text", sample: int = 6_000, bits: int = 16) -> Ordinal:
     """Fit on at most ``sample`` rated rows: those with the smallest key hashes
-    among rows that ``where`` keeps.  Only their hashed features reach the
+    among rows that ``where`` keeps.  Rows of one key count once (the smallest
+    text hash), so that the bound holds for what is joined.  Only their hashed features reach the
     driver.  Null ratings or keys are left out; a rating outside 0 ..
     ``n_grades`` - 1 is an error; without any rated row all grades are equally
     likely."""
@@ -139,6 +137,7 @@ def learn_quality(docs: DataFrame, ratings: DataFrame, n_grades: int, where: Col
     keys = (keys if where is None else keys.where("use").drop("use")).where("key IS NOT NULL AND grade IS NOT NULL")
     keys = keys.orderBy(F.xxhash64("key"), "key", "grade").limit(sample)
     rated = id_text(docs, id_col, text_col).join(F.broadcast(keys), F.col("doc_id") == F.col("key")).select("doc_id", "text", "grade")
+    rated = one_of_each(rated, ["doc_id", "grade"], [F.xxhash64("text"), F.col("text")])
 
     def run(batches):
         f = features(bits)
@@ -147,7 +146,7 @@ def learn_quality(docs: DataFrame, ratings: DataFrame, n_grades: int, where: Col
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())),
                                               pa.array([r[1].astype(np.float32) for r in rows], pa.list_(pa.float32()))], names=["doc_id", "grade", "at", "x"])
 
-    got = rated.mapInArrow(run, "doc_id bigint, grade int, at array<int>, x array<float>").toArrow().sort_by("doc_id")
+    got = rated.mapInArrow(run, "doc_id bigint, grade int, at array<int>, x array<float>").toArrow().sort_by([("doc_id", "ascending"), ("grade", "ascending")])
     grades = got["grade"].to_numpy()
     if not len(grades):
         return Ordinal(bits, np.zeros(1 << bits), -np.log(np.arange(n_grades - 1, 0, -1) / np.arange(1, n_grades)))

@@ -15,14 +15,13 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, id_text_batches
+from .common import held, id_text, id_text_batches, parts_of
 
 
 @dataclass(frozen=True)
@@ -283,15 +282,20 @@ class Scanner:
 
     def raw(self, data: bytes) -> list[tuple[int, int, int]]:
         """Byte spans of the leftmost non-overlapping matches of each rule."""
-        row, hits, last = self.starts, [], len(data) - 1
+        row, runs, last, now = self.starts, [], len(data) - 1, 0
         for i, b in enumerate(data[::-1]):
             row = row[b]
-            if row[256]:
-                hits.append((last - i, row[256]))
+            if row[256] != now:  # neighbouring starts of the same rules are one run: its last place, then its first
+                if now:
+                    runs[-1][1] = last - i + 1
+                now = row[256]
+                if now:
+                    runs.append([last - i, 0, now])
         done, out = [0] * len(self.rules), []
-        for at, found in reversed(hits):
+        for last, first, found in reversed(runs):
             for r in _bits(found):
-                if at >= done[r]:
+                at = max(first, done[r])
+                while at <= last:
                     row, end, i = self.extend[r], at, at
                     while i < len(data):
                         row = row[data[i]]
@@ -302,6 +306,7 @@ class Scanner:
                             break
                     done[r] = end
                     out.append((at, end, r))
+                    at = max(end, at + 1)
         return out
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
@@ -328,10 +333,9 @@ class Scanner:
         return ",".join(f"{self.rules[r].kind}:{s}:{e}" for s, e, r in spans)
 
 
-@lru_cache(4)
 def scanner(rules: tuple[Rule, ...]) -> Scanner:
-    """One compiled scanner per Python worker and rule set."""
-    return Scanner(rules)
+    """One compiled scanner per Python worker."""
+    return held(("scanner", rules), lambda: Scanner(rules))
 
 
 # ---------------------------------------------------------------- operators
@@ -366,7 +370,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET
 
     def run(batches):
         scan = scanner(rules)
-        for b in batches:
+        for b in parts_of(batches):
             out = []
             for t in b.column(at).to_pylist():
                 parts, end = [], 0

@@ -11,6 +11,7 @@ probability by logistic calibration on the same rows.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, id_text_batches, stored
+from .common import held, id_text, id_text_batches, one_of_each, stored
 
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = {
@@ -94,7 +95,13 @@ class Matcher:
                 spared.append((start, end))
             else:
                 best[start] = max(weight, best.get(start, 0.0))
-        return [(s, w) for s, w in sorted(best.items()) if not any(a <= s < b for a, b in spared)]
+        out, spared, k, reach = [], sorted(spared), 0, 0
+        for s, w in sorted(best.items()):  # both in order: one sweep
+            while k < len(spared) and spared[k][0] <= s:
+                reach, k = max(reach, spared[k][1]), k + 1
+            if s >= reach:
+                out.append((s, w))
+        return out
 
     def evidence(self, text: str | None) -> tuple[float, float]:
         """Log of the matched weight, and of the matched weight for each 100 words."""
@@ -111,13 +118,8 @@ class Matcher:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-_MATCHERS: dict[Lexicon, Matcher] = {}
-
-
 def matcher(lexicon: Lexicon) -> Matcher:
-    if lexicon not in _MATCHERS:
-        _MATCHERS[lexicon] = Matcher(lexicon)
-    return _MATCHERS[lexicon]
+    return held(("matcher", lexicon), lambda: Matcher(lexicon))
 
 
 # ------------------------------------------------------------------ learning
@@ -126,10 +128,10 @@ def _terms_of(text: str | None, short: int, long: int) -> set[str]:
     return {f" {w} " for w in words if len(w) > 2} | {f" {w[:n]}" for w in words for n in range(short, min(long, len(w)) + 1)}
 
 
-def _sketch(text: str | None) -> int:
-    """Smallest hash of a text's three-word runs: near copies mostly share it."""
+def _sketch(text: str | None) -> str:
+    """The two smallest hashes of a text's three-word runs: near copies mostly share them."""
     w = fold(text).split()
-    return min((xxhash.xxh3_64_intdigest(" ".join(w[k:k + 3])) for k in range(max(1, len(w) - 2))), default=0) >> 1
+    return " ".join(f"{h:x}" for h in heapq.nsmallest(2, {xxhash.xxh3_64_intdigest(" ".join(w[k:k + 3])) for k in range(max(1, len(w) - 2))}))
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame, where: Column | None = None, label_col: str = "toxic", id_col: str = "doc_id",
@@ -137,7 +139,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, where: Column | None = Non
                   short: int = 4, long: int = 10, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Lexicon and calibration from at most ``sample`` labelled rows (those with
     the smallest key hashes among rows that ``where``, over the labels, keeps).
-    Near copies among them count once.  A term needs ``support`` toxic rows and
+    Rows of one key count once, as do near copies: the row with the smallest
+    text hash, then the smallest key.  A term needs ``support`` toxic rows and
     log-odds of ``odds``; a term whose beginning already is one is left out, and
     a beginning that nearly always goes on in one way is taken that far; at most
     ``most`` terms stay.  Null labels are left out; without any labelled row
@@ -147,13 +150,14 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, where: Column | None = Non
     keys = (keys if where is None else keys.where("use").drop("use")).where("label IS NOT NULL AND key IS NOT NULL")
     keys = keys.orderBy(F.xxhash64("key"), "key").limit(sample)
     rows = id_text(docs, id_col, text_col).join(F.broadcast(keys), F.col("doc_id") == F.col("key")).select("doc_id", "text", "label")
+    rows = one_of_each(rows, ["doc_id", "label"], [F.xxhash64("text"), F.col("text")])
 
     def sketched(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([_sketch(t) for t in b.column(1).to_pylist()], pa.int64())],
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([_sketch(t) for t in b.column(1).to_pylist()], pa.string())],
                                              names=["doc_id", "text", "label", "sketch"])
 
-    rows = rows.mapInArrow(sketched, "doc_id bigint, text string, label int, sketch bigint").dropDuplicates(["label", "sketch"])
+    rows = one_of_each(rows.mapInArrow(sketched, "doc_id bigint, text string, label int, sketch string"), ["label", "sketch"], [F.col("doc_id")])
     rows = stored(rows.select("text", "label"), "labelled")
 
     def count(batches):

@@ -151,3 +151,13 @@ def test_leaders_and_bounds_of_very_long_texts(spark):
     assert got == {1: (2 + 1, 4, 20_000_000, 600_000), 2: (2, 8, (1 << 24) - 1, 1)}
     big = flat.where("n = 20000000").select(_need(F.col("n"), F.col("n"), 85).alias("need")).first()["need"]
     assert big == need_of(20_000_000, 20_000_000, 85)
+
+
+def test_words_made_to_collide_in_polynomial_hashes(docs_of):
+    """A Thue-Morse word and its complement have one hash under any polynomial modulo 2**64."""
+    u, v = "a", "b"
+    while len(u) < 2048:
+        u, v = u + v, v + u
+    for n in (9, 16, 17, 1024, 2048):
+        assert shingle_set(f"one two three {u[:n]}", 4) != shingle_set(f"one two three {v[:n]}", 4)
+    check(docs_of, [(1, f"one two three four {u}"), (2, f"one two three four {v}"), (3, "a\x00 b c d"), (4, "a b c d")])

@@ -25,7 +25,7 @@ def test_stages_against_brute_force(spark):
         if name == "language_id":
             assert before.keys() - after.keys() == {i for i, t in before.items() if not any(c.isalpha() for c in t or "")} >= {10_001, 10_002}
         elif name == "near_duplicates":
-            assert after.keys() == {i for i, _, c in test_ngram_join.brute(list(before.items())) if i == c}
+            assert after.keys() == {i for i, _, c in test_ngram_join.brute(list(before.items()), words=5, percent=80) if i == c}
         elif name == "decontamination":
             assert after.keys() == {r[0] for r in test_decontaminate.brute(before.items(), items) if not r[-1]}
         elif name == "secrets":
@@ -56,3 +56,12 @@ def test_near_copies_at_five_words(spark, docs_of):
     kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs_of(rows), SF).collect()}
     assert kept == {i for i, _, c in test_ngram_join.brute(rows, percent=80, words=5) if i == c} == {0, 2, 3}
     assert {i for i, _, c in test_ngram_join.brute(rows) if i == c} == {0, 1, 2, 3, 4}
+
+
+def test_near_duplicates_with_null_and_repeated_keys(spark, docs_of):
+    """Of each group by 5 words and 0.8 one row stays, that with the smallest key (null last)."""
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, base), (None, base + " end"), (4, base), (4, base), (4, "another text with more than five words"), (3, base.replace("w30", "x")), (9, None), (9, None), (None, ""),
+            (8, "seldom seen words stand here alone"), (7, "seldom seen words stand here alone"), (None, "keyless text of six plain words"), (None, "keyless text of six plain words")]
+    kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs_of(rows), SF).collect()), key=str)
+    assert kept == sorted([(3, rows[5][1]), (4, rows[4][1]), (9, None), (9, None), (None, ""), (7, rows[10][1]), (None, rows[11][1])], key=str)

@@ -75,3 +75,13 @@ def test_redaction_keeps_rows_and_columns(docs_of, odd_rows):
     assert out.columns == docs.columns and out.count() == docs.count()
     assert out.where("doc_id = 9").first()["text"] == 'é [SECRET]" and token=abc, [SECRET]!'
     assert out.where("doc_id = 1").first()["text"] is None
+
+
+def test_long_matches_take_little_memory():
+    import tracemalloc
+
+    scan, data = Scanner(BASE_RULES), b"0123456789abcdef" * 40_000
+    tracemalloc.start()
+    assert scan.raw(data) == [(0, len(data), 2)]
+    assert tracemalloc.get_traced_memory()[1] < 4 * len(data)
+    tracemalloc.stop()
