@@ -13,7 +13,7 @@ text can imitate the template, and the original is read back exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, NEXT, END = "<|start|>", "<|next|>", "<|end|>\n"
@@ -47,11 +47,21 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     empty table gives no rows; other columns are not read.
 
     The only shuffle brings a conversation's turns together, which its one
-    output row needs."""
+    output row needs; the work grows in proportion to them."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, text_col))
-    rows = turns.select(F.col(conv_col).alias("conv_id"),
-                        F.struct(F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text")).alias("t"))
+    rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
+    # where each text will lie: running sums of the lengths of what comes before it
+    w = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    other = lambda near: near.over(w).isNull() | (near.over(w) != F.col("role"))
+    rows = rows.withColumns({
+        "before": F.when(other(F.lag("role")), len(START) + F.char_length(escape_role(F.col("role"))) + 1).otherwise(len(NEXT)),
+        "size": F.char_length(escape(F.col("text"))), "after": F.when(other(F.lead("role")), len(END)).otherwise(0)})
+    end = F.sum(F.col("before") + F.col("size") + F.col("after")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("start", (end - F.col("after") - F.col("size")).cast("int"))
+    rows = rows.select("conv_id", F.struct("turn", "role", "text", "start", F.col("size").alias("length")).alias("t"))
     chats = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    learned = F.transform(F.filter("t", lambda t: t["role"] == learn_role), lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")))
+    chats = chats.withColumn("loss", learned)
     chats = chats.withColumn("role", F.transform("t", lambda t: t["role"])).withColumn("n", F.size("t"))
     # a block begins where the role differs from the one before
     first = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i == 0) | (F.get("role", i) != F.get("role", i - 1)))
@@ -60,19 +70,9 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     blocks = F.transform(F.arrays_zip(F.col("first").alias("a"), past.alias("b")), lambda x: F.struct(
         F.get("role", x["a"]).alias("role"),
         F.transform(F.slice("t", x["a"] + 1, x["b"] - x["a"]), lambda t: escape(t["text"])).alias("texts")))
-    chats = chats.select("conv_id", blocks.alias("blocks"))
-    chats = chats.withColumn("blocks", F.transform("blocks", lambda b: F.struct(
-        F.concat(F.lit(START), escape_role(b["role"]), F.lit("\n")).alias("head"), b["texts"].alias("texts"), (b["role"] == learn_role).alias("learn"))))
-    body = F.transform("blocks", lambda b: F.concat(b["head"], F.array_join(b["texts"], NEXT), F.lit(END)))
-    # where each learned text lies: lengths of all pieces, summed as they come
-    sizes = F.flatten(F.transform("blocks", lambda b: F.transform(b["texts"], lambda t, i: F.struct(
-        F.when(i == 0, F.char_length(b["head"])).otherwise(len(NEXT)).alias("before"), F.char_length(t).alias("size"),
-        F.when(i == F.size(b["texts"]) - 1, len(END)).otherwise(0).alias("after"), b["learn"].alias("learn")))))
-    spans = F.aggregate(sizes, F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<start:int,length:int>>)").alias("spans")),
-                        lambda acc, x: F.struct((acc["at"] + x["before"] + x["size"] + x["after"]).alias("at"),
-                                                F.when(x["learn"], F.concat(acc["spans"], F.array(F.struct(
-                                                    (acc["at"] + x["before"]).alias("start"), x["size"].alias("length"))))).otherwise(acc["spans"]).alias("spans")))
-    return chats.select("conv_id", F.array_join(body, "").alias("formatted"), F.size("blocks").alias("n_blocks"), spans["spans"].alias("loss"))
+    chats = chats.select("conv_id", blocks.alias("blocks"), "loss")
+    body = F.transform("blocks", lambda b: F.concat(F.lit(START), escape_role(b["role"]), F.lit("\n"), F.array_join(b["texts"], NEXT), F.lit(END)))
+    return chats.select("conv_id", F.array_join(body, "").alias("formatted"), F.size("blocks").alias("n_blocks"), "loss")
 
 
 def read_back(formatted: Column) -> Column:
