@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, stored
+from .common import bound_batches, held, id_text, stored
 
 #: Bytes of words (or of ids) in a block; a longer text is a block of its own.
 BLOCK = 1 << 24
@@ -43,8 +43,7 @@ WORDS = (r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^" + _SPACE + r"\p{L}\p{N}]
 UNKNOWN = r"\p{Cn}"
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
+def _load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
     from tokenizers import Tokenizer
 
@@ -54,6 +53,10 @@ def _tokenizer(path: str):
     return tok
 
 
+def _tokenizer(path: str):
+    return held(("tokenizer", path), lambda: _load(path))
+
+
 def _specials(path: str) -> list[str]:
     """Texts of the added tokens, longest first; only such as stand for themselves."""
     spec = json.loads(_tokenizer(path).to_str())
@@ -138,8 +141,17 @@ def _ends(lists: pa.ListArray) -> np.ndarray:
 
 
 def _in_blocks(batches: Iterator[pa.RecordBatch], resplit=None) -> Iterator[_Block]:
-    """Rows (key, list[, text]) by blocks; a null list is made from the text."""
-    at_row, part = 0, TaskContext.get().partitionId()
+    """Rows (key, list[, text]) by blocks, which may take in several batches; a
+    null list is made from the text."""
+    at_row, part, held_rows, held_bytes = 0, TaskContext.get().partitionId(), [], 0
+
+    def whole():
+        nonlocal at_row, held_rows, held_bytes
+        keys, lists = (pa.concat_arrays(x) for x in zip(*held_rows))
+        place, at_row = f"{part} {at_row}", at_row + len(keys)
+        held_rows, held_bytes = [], 0
+        return _Block(place, keys, lists)
+
     for b in batches:
         lists = b.column(1)
         if lists.null_count:
@@ -150,10 +162,16 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], resplit=None) -> Iterator[_Blo
             lists = pa.concat_arrays([*parts, lists.slice(at)])
         ends, at = _ends(lists), 0
         while at < b.num_rows:
-            to = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK, "right")) - 1)
-            yield _Block(f"{part} {at_row + at}", b.column(0).slice(at, to - at), lists.slice(at, to - at))
-            at = to
-        at_row += b.num_rows
+            to = int(np.searchsorted(ends, ends[at] + BLOCK - held_bytes, "right")) - 1
+            if to <= at:
+                if held_rows:
+                    yield whole()
+                    continue
+                to = at + 1
+            held_rows.append((b.column(0).slice(at, to - at), lists.slice(at, to - at)))
+            held_bytes, at = held_bytes + int(ends[to] - ends[at]), to
+    if held_rows:
+        yield whole()
 
 
 def _wide(n: int) -> np.dtype:
@@ -349,9 +367,10 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     once for the places, and a block whose two readings differ is an error: write
     a table first whose rows may change when it is computed again.  Distinct
     words of blocks move to the word table and back, the places once; a task
-    holds one block.  With ``decode``, the ids of a block's distinct words are
+    holds one block, and the session's Arrow batches are bounded.  With ``decode``, the ids of a block's distinct words are
     joined with the vocabulary's pieces, which are broadcast."""
     spark, specials = docs.sparkSession, _specials(tokenizer_path)
+    bound_batches(spark)
     rows = id_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.select("doc_id", words_of(F.col("text"), specials).alias("words"), F.when(F.regexp_like("text", F.lit(UNKNOWN)), F.col("text")).alias("text"))
     resplit = lambda text: _split_here(tokenizer_path, specials, text)
@@ -365,6 +384,7 @@ def decode_documents(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc
     the vocabulary and null ids give nothing, null or empty lists an empty text,
     and bytes that are no UTF-8 the replacement character.  The rows are written
     once, as they may come from a shuffle, and then read twice."""
+    bound_batches(encoded.sparkSession)
     rows = encoded.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(ids_col).cast("array<int>"), F.array().cast("array<int>")).alias("ids"))
     rows = stored(rows.withColumn("ids", F.filter("ids", lambda k: k.isNotNull())), "ids")
     pieces = F.broadcast(piece_table(encoded.sparkSession, tokenizer_path).withColumnRenamed("id", "item"))
