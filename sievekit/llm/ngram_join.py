@@ -344,7 +344,7 @@ def _star_pairs(met: DataFrame, percent: int) -> DataFrame:
     return best.select(F.least("node", "lead").alias("u"), F.greatest("node", "lead").alias("v")).distinct()
 
 
-def _rest_pairs(short: DataFrame, labelled: DataFrame, percent: int, step: float = 1.05) -> DataFrame:
+def _rest_pairs(short: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes with different labels that share enough of their prefixes.
 
     Nodes meet at shingles in their first ``n - need + 1`` places, of which one
@@ -355,6 +355,7 @@ def _rest_pairs(short: DataFrame, labelled: DataFrame, percent: int, step: float
     rows outside the commonest label meet all others.  Then each pair's longer
     prefixes are compared: l shingles must be shared, and what follows the last
     shared one must suffice."""
+    step = max(1.01, (100 / percent) ** 0.5)  # the sizes that a partner may have span two classes or three
     klass = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(step))).cast("int")
     n, pos = F.col("n"), F.col("pos")
     least = F.ceil(n.cast("bigint") * percent / 100).cast("int")
