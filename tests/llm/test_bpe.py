@@ -1,7 +1,9 @@
 import hashlib
+import os
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -73,6 +75,11 @@ def test_texts_do_not_move_and_changing_rows_are_an_error(spark, docs_of):
     docs = docs_of([(k, f"some words {k}") for k in range(50)])
     plan = encode_documents(docs, PATH)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "Exchange hashpartitioning(bucket" in plan and "Exchange hashpartitioning(block" in plan
-    unsteady = spark.range(50).select(F.col("id").alias("doc_id"), F.uuid().alias("text"))
+
+    def other_texts(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([os.urandom(4).hex() for _ in range(b.num_rows)])], names=["doc_id", "text"])
+
+    unsteady = spark.range(50).mapInArrow(other_texts, "doc_id bigint, text string")
     with pytest.raises(Exception, match="changed between two readings"):
         encode_documents(unsteady, PATH).collect()
