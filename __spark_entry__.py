@@ -9,6 +9,8 @@ their own tests."""
 from __future__ import annotations
 
 import os
+import re
+import warnings
 from collections.abc import Callable
 
 import pandas as pd
@@ -18,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import types as T
 
 from sievekit.functions import (dense_fingerprint, pattern_keys, sign_bits, similarity,
-                                with_fingerprint)
+                                tokens, with_fingerprint)
 from sievekit.operators import evaluate as ev
 from sievekit.operators import fingerprints as fpo
 from sievekit.operators import frames as fr
@@ -207,6 +209,25 @@ def q_conform(spark, sf):
     return io.conform(_t(spark, sf, "part"), CONFORM_SCHEMA)
 
 
+CONFORM_DRIFT_SQL = [("p_partkey", "retyped", "string", "bigint"), ("p_size", "retyped", "double", "int"), ("p_type", "retyped", "int", "string"),
+                     ("p_retailprice", "same", "double", "double"), ("p_comment", "missing", "string", None),
+                     ("p_name", "extra", None, "string"), ("p_brand", "extra", None, "string")]
+
+
+@_register("conform_drift", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{k}' AS change, {'NULL' if t is None else repr(t)} AS declared, {'NULL' if f is None else repr(f)} AS found, "
+    + ("CAST(count_if(p_type IS NOT NULL AND TRY_CAST(p_type AS INTEGER) IS NULL) AS BIGINT)" if c == "p_type" else "CAST(count_if(false) AS BIGINT)") + " AS n_lost FROM part"
+    for c, k, t, f in CONFORM_DRIFT_SQL))
+def q_conform_drift(spark, sf):
+    return io.schema_drift(_t(spark, sf, "part"), CONFORM_SCHEMA)
+
+
+@_register("conform_rejects", """SELECT p_partkey, 'p_type' AS column_name, 'int' AS declared, p_type AS value FROM part
+  WHERE p_type IS NOT NULL AND TRY_CAST(p_type AS INTEGER) IS NULL""")
+def q_conform_rejects(spark, sf):
+    return io.rejects(_t(spark, sf, "part"), CONFORM_SCHEMA, ["p_partkey"])
+
+
 @_register("write_table", "SELECT * FROM orders")
 def q_write_table(spark, sf):
     path = scratch_path(spark, "orders-copy")
@@ -214,12 +235,18 @@ def q_write_table(spark, sf):
     return io.read_table(spark, path)
 
 
+@_register("write_batches", "SELECT * FROM orders")
+def q_write_batches(spark, sf):
+    """Orders by status, one status loaded twice."""
+    path, orders = scratch_path(spark, "orders-batches"), _t(spark, sf, "orders")
+    for part in (orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus <> 'F'"), orders.where("o_orderstatus = 'F'")):
+        io.write_batches(part, path, "o_orderstatus")
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 @_register("verify_persisted", "SELECT count(*) AS rows_written, count(*) AS rows_read, true AS matches FROM orders")
 def q_verify_persisted(spark, sf):
-    path = scratch_path(spark, "orders-verify")
-    orders = _t(spark, sf, "orders")
-    io.write_table(orders, path)
-    return io.verify_persisted(spark, path, orders)
+    return io.write_verified(_t(spark, sf, "orders"), scratch_path(spark, "orders-verify"))
 
 
 _LI_TYPES = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
@@ -228,15 +255,18 @@ _LI_TYPES = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "b
              ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")]
 
 
-@_register("use_namespace", "SELECT 'sievekit_query' AS database, count(*) AS n_rows FROM nation")
+@_register("use_namespace", """SELECT 'sievekit_query' AS database, lang, source, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS n_chars
+  FROM documents GROUP BY lang, source""")
 def q_use_namespace(spark, sf):
-    """A table written into and read from a namespace of its own."""
+    """Documents written into a namespace of its own and counted there."""
     before = spark.catalog.currentDatabase()
     name = io.use_namespace(spark, "sievekit_query", scratch_path(spark, "namespace"))
-    io.write_table(_t(spark, sf, "nation"), "nation_copy")
-    n = io.read_table(spark, f"{name}.nation_copy").count()
-    io.use_namespace(spark, before)
-    return spark.range(1).select(F.lit(name).alias("database"), F.lit(n).cast("bigint").alias("n_rows"))
+    try:
+        io.write_table(_t(spark, sf, "documents"), "documents_copy")
+        copy = io.read_table(spark, f"{name}.documents_copy")
+    finally:
+        io.use_namespace(spark, before)
+    return copy.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("n_chars")).withColumn("database", F.lit(name))
 
 
 @_register("schema_report", " UNION ALL ".join(
@@ -566,17 +596,21 @@ def q_batch_featurize(spark, sf):
     return out.drop("text")
 
 
-@_register("batch_featurize_user", """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE CAST(length(text) AS BIGINT) END AS u_length,
-  CASE WHEN doc_id % 7 = 0 THEN NULL ELSE CAST(len(string_split(text, chr(10))) AS BIGINT) END AS u_lines,
-  text IS NULL OR doc_id % 7 = 0 AS featurize_error FROM documents""")
+@_register("batch_featurize_user", """SELECT doc_id, CAST(length(text) AS BIGINT) AS u_length, CAST(len(string_split(text, chr(10))) AS BIGINT) AS u_lines,
+  CAST(len(regexp_extract_all(text, '[0-9]+')) AS BIGINT) AS u_numbers, text IS NULL AS featurize_error FROM documents""")
 def q_batch_featurize_user(spark, sf):
-    """A user's vectorised function; every seventh text is null for it."""
-    def lengths(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"length": s.str.len().astype("Int64"), "lines": (s.str.count("\n") + 1).astype("Int64")})
+    """A user's vectorised function, made once a task."""
+    def setup():
+        number = re.compile("[0-9]+")
+
+        def features(s: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame({"length": s.str.len().astype("Int64"), "lines": (s.str.count("\n") + 1).astype("Int64"),
+                                 "numbers": s.map(lambda t: len(number.findall(t)), na_action="ignore").astype("Int64")})
+        return features
 
-    schema = T.StructType([T.StructField("length", T.LongType()), T.StructField("lines", T.LongType())])
-    docs = _t(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 7 != 0, F.col("text")).alias("text"))
-    return fpo.batch_featurize(docs, "text", lengths, schema, prefix="u_", partitions=_parts(spark)).drop("text")
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("length", "lines", "numbers")])
+    docs = _t(spark, sf, "documents").select("doc_id", "text")
+    return fpo.batch_featurize(docs, "text", schema=schema, setup=setup, prefix="u_", partitions=_parts(spark)).drop("text")
 
 
 @_register("hashed_fingerprint", f"SELECT doc_id, bits FROM {_doc_fp_sql()}")
@@ -646,20 +680,20 @@ def q_similar_top_k(spark, sf):
     return si.similar_top_k(emb, protos, "vec_id", "bits", "label", "qbits", k=5)
 
 
-def _ps_sql(p):
-    m = len(p)
-    want = "[" + ", ".join(f"'{t}'" for t in p) + "]"
-    hits = (f"list_filter(CASE WHEN len(toks) >= {m} THEN range(1, len(toks) - {m} + 2) ELSE CAST([] AS BIGINT[]) END, "
-            f"lambda i: toks[i] = '{p[0]}' AND toks[i:i + {m - 1}] = {want})")
-    return f"list_transform({hits}, lambda i: CAST(range(i - 1, i + {m - 1}) AS INTEGER[]))"
+_PATTERNS_SQL = (f"SELECT CAST(item_id AS VARCHAR) AS pattern_id, ({tokens_sql('text')})[1:3] AS pattern FROM benchmark WHERE len({tokens_sql('text')}) > 0"
+                 + "".join(f" UNION ALL SELECT 'f{i}', {p!r}" for i, p in enumerate(TOKEN_PATTERNS)))
 
 
-@_register("pattern_search", "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT doc_id, {i} AS pattern_id, len(m) AS n_matches, m AS matches FROM "
-    f"(SELECT doc_id, {_ps_sql(p)} AS m FROM (SELECT doc_id, {tokens_sql('text')} AS toks FROM documents) "
-    f"WHERE toks IS NOT NULL)" for i, p in enumerate(TOKEN_PATTERNS)) + ") WHERE n_matches > 0")
+@_register("pattern_search", f"""WITH p AS ({_PATTERNS_SQL}),
+d AS (SELECT doc_id, {tokens_sql('text')} AS toks FROM documents),
+x AS (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS i FROM d)
+SELECT doc_id, pattern_id, count(*) AS n_matches, list(CAST(range(i - 1, i - 1 + len(pattern)) AS INTEGER[]) ORDER BY i) AS matches
+FROM x JOIN p ON toks[i] = pattern[1] AND toks[i:i + len(pattern) - 1] = pattern GROUP BY doc_id, pattern_id""")
 def q_pattern_search(spark, sf):
-    return fpo.pattern_search(_t(spark, sf, "documents"), "doc_id", "text", TOKEN_PATTERNS, partitions=_parts(spark))
+    """Patterns from a table: the first three tokens of every benchmark item, and a few more."""
+    items = _t(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("pattern_id"), F.slice(tokens("text"), 1, 3).alias("pattern")).where(F.size("pattern") > 0)
+    more = fpo.pattern_frame(spark, TOKEN_PATTERNS).select(F.concat(F.lit("f"), F.col("pattern_id")).alias("pattern_id"), "pattern")
+    return fpo.pattern_search(_t(spark, sf, "documents"), "doc_id", "text", items.unionByName(more), partitions=_parts(spark))
 
 
 @_register("rarity_score", f"""WITH f AS (SELECT * FROM {_doc_fp_sql()} WHERE bits IS NOT NULL),
@@ -713,6 +747,8 @@ def q_feature_batch(spark, sf):
 def _train_frame(spark, sf, all_documents=False):
     """documents + labels -> features, with a hash split (train/val/test)."""
     lab = _t(spark, sf, "labels").select("doc_id", "toxic")
+    # two numbers a label: up to a size that is checked, they go to the texts, not the texts to them
+    lab = si.bounded(lab)
     docs = _t(spark, sf, "documents").select("doc_id", "text").join(lab, "doc_id", "left" if all_documents else "inner")
     feats = fpo.feature_batch(docs, "text", FP_RADIUS, FP_BITS, partitions=_parts(spark))
     feats = fr.hash_split(feats, "doc_id")
@@ -741,18 +777,7 @@ def _fit_forest(spark, sf, num_trees=100, all_documents=False):
     x = _train_frame(spark, sf, all_documents)
     train = tr.with_class_weights(x.filter(F.col("split") == "train"), "label", classes=(0.0, 1.0))
     return x, tr.train_forest(train, weight_col="weight", num_trees=num_trees, max_depth=20,
-                              min_instances_per_node=2, seed=42)
-
-
-def _checked_scores(scored):
-    """Rows, split and label, and whether score and prediction are in order."""
-    return scored.select("doc_id", "split", "label", F.col("score").between(0.0, 1.0).alias("score_in_unit"),
-                         ((F.col("prediction") == 1) == (F.col("score") > 0.5)).alias("prediction_follows"))
-
-
-def _scores_sql(join="JOIN"):
-    return (f"SELECT d.doc_id, {split_sql('d.doc_id')} AS split, CAST(l.toxic AS DOUBLE) AS label, true AS score_in_unit, "
-            f"true AS prediction_follows FROM documents d {join} labels l ON l.doc_id = d.doc_id")
+                              min_instances_per_node=2, seed=42, written=True)
 
 
 def _scores(scored):
@@ -760,14 +785,8 @@ def _scores(scored):
     return scored.select("doc_id", "split", "label", "prediction", "score")
 
 
-@_register("train_forest", _scores_sql())
+@_register("train_forest")
 def q_train_forest(spark, sf):
-    x, model = _fit_forest(spark, sf)
-    return _checked_scores(tr.score_rows(model, x))
-
-
-@_register("train_forest_scores")
-def q_train_forest_scores(spark, sf):
     x, model = _fit_forest(spark, sf)
     return _scores(tr.score_rows(model, x))
 
@@ -777,30 +796,18 @@ def _fit_boosted(spark, sf):
     pos_w = tr.positive_weight(x.filter(F.col("split") == "train"), "label")
     x = x.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(pos_w)).otherwise(F.lit(1.0)))
     model = tr.train_boosted(x.filter(F.col("split") == "train"), weight_col="weight", max_iter=150,
-                             max_depth=6, step_size=0.1, subsampling_rate=0.8, feature_subset="0.8")
+                             max_depth=6, step_size=0.1, subsampling_rate=0.8, feature_subset="0.8", written=True)
     return x, model
 
 
-@_register("train_boosted", _scores_sql())
+@_register("train_boosted")
 def q_train_boosted(spark, sf):
-    x, model = _fit_boosted(spark, sf)
-    return _checked_scores(tr.score_rows(model, x))
-
-
-@_register("train_boosted_scores")
-def q_train_boosted_scores(spark, sf):
     x, model = _fit_boosted(spark, sf)
     return _scores(tr.score_rows(model, x))
 
 
-@_register("score_rows", _scores_sql("LEFT JOIN"))
+@_register("score_rows")
 def q_score_rows(spark, sf):
-    x, model = _fit_forest(spark, sf, num_trees=50, all_documents=True)
-    return _checked_scores(tr.score_rows(model, x))
-
-
-@_register("score_rows_scores")
-def q_score_rows_scores(spark, sf):
     x, model = _fit_forest(spark, sf, num_trees=50, all_documents=True)
     return _scores(tr.score_rows(model, x))
 
@@ -821,21 +828,15 @@ def _searched(spark, sf):
         # cached node ids: fewer passes over the data for deep trees
         return RandomForestClassifier(seed=42, weightCol="weight", maxMemoryInMB=budget, cacheNodeIds=True, **p)
     train, val = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "val")
-    parts = _parts(spark)
+    parts, ledger = _parts(spark), rn.RunLog(spark, scratch_path(spark, "trials"))
     model, trials = tr.param_search(train, val, build, SEARCH_SPACE, n_trials=20, seed=42, parallelism=parallel,
                                     partitions=parts and max(1, parts // parallel),
-                                    refit=cut_lineage(train.unionByName(val), "refit"))
+                                    refit=cut_lineage(train.unionByName(val), "refit"), ledger=ledger, run_id=ledger.start_run("forest_search"))
     return x, model, trials
 
 
-@_register("param_search", "SELECT CAST(range AS INTEGER) AS trial, true AS auc_in_unit FROM range(20)")
+@_register("param_search")
 def q_param_search(spark, sf):
-    _, _, trials = _searched(spark, sf)
-    return trials.select("trial", F.col("val_roc_auc").between(0.0, 1.0).alias("auc_in_unit"))
-
-
-@_register("param_search_trials")
-def q_param_search_trials(spark, sf):
     """Each trial, which is best, and the AUC on the test rows of the best
     setting's model (null for the others, which are not kept)."""
     x, model, trials = _searched(spark, sf)
@@ -844,24 +845,12 @@ def q_param_search_trials(spark, sf):
     return trials.withColumn("best", best).withColumn("test_roc_auc", F.when(F.col("best"), F.lit(test_auc).cast("double")))
 
 
-def _top_20(spark, sf):
-    _, model = _fit_forest(spark, sf, num_trees=50)
-    return tr.top_importances(model, tr.feature_names([f"calc_{p}" for p in DESCRIPTORS], FP_BITS), 20)
-
-
-@_register("top_importances", "SELECT CAST(range + 1 AS INTEGER) AS rank, true AS in_order, true AS in_unit FROM range(20)")
+@_register("top_importances")
 def q_top_importances(spark, sf):
+    _, model = _fit_forest(spark, sf, num_trees=50)
+    top = tr.top_importances(model, tr.feature_names([f"calc_{p}" for p in DESCRIPTORS], FP_BITS), 20)
     w = Window.partitionBy().orderBy(F.desc("importance"), "feature")  # 20 rows
-    top = _top_20(spark, sf).withColumn("before", F.lag("importance").over(w))
-    total = F.sum("importance").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return top.select(F.row_number().over(w).alias("rank"), F.coalesce(F.col("before") >= F.col("importance"), F.lit(True)).alias("in_order"),
-                      (total <= 1.0 + 1e-9).alias("in_unit"))
-
-
-@_register("top_importances_features")
-def q_top_importances_features(spark, sf):
-    w = Window.partitionBy().orderBy(F.desc("importance"), "feature")  # 20 rows
-    return _top_20(spark, sf).select(F.row_number().over(w).alias("rank"), "feature", "importance")
+    return top.select(F.row_number().over(w).alias("rank"), "feature", "importance")
 
 
 _RUNS = [("weighted_rules", "prediction", "score"), ("linear_rules", "prediction_b", "score_b")]
@@ -916,7 +905,9 @@ def q_run_log(spark, sf):
     return rows.join(names, "parent_id", "left").select("run_name", "parent_name", "kind", "key", F.round("value", 9).alias("value"), "text")
 
 
-def _saved_and_loaded(spark, sf):
+@_register("save_model")
+def q_save_model(spark, sf):
+    """Scores of the model as fitted and as loaded again."""
     x, model = _fit_forest(spark, sf, num_trees=20)
     path = scratch_path(spark, "model")
     tr.save_model(model, path, x.schema)
@@ -925,16 +916,6 @@ def _saved_and_loaded(spark, sf):
     return after.join(before, "doc_id").withColumn("same_score", F.col("score") == F.col("before")).drop("before")
 
 
-@_register("save_model", "SELECT d.doc_id, true AS same_score FROM documents d JOIN labels l ON l.doc_id = d.doc_id")
-def q_save_model(spark, sf):
-    return _saved_and_loaded(spark, sf).select("doc_id", "same_score")
-
-
-@_register("save_model_scores")
-def q_save_model_scores(spark, sf):
-    return _saved_and_loaded(spark, sf)
-
-
 @_register("compare_models", f"""SELECT 'weighted_rules' AS run_name, * FROM {_metrics_sql('prediction', 'score')}
 UNION ALL SELECT 'linear_rules', * FROM {_metrics_sql('prediction_b', 'score_b')}""")
 def q_compare_models(spark, sf):
@@ -1016,12 +997,11 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _optional() -> tuple[dict, dict]:
-    """Queries and SQL of the ``llm`` subpackage, which may be absent."""
+    """Queries and SQL of the ``llm`` subpackage, which may be absent, or lack a package it needs."""
     try:
         from sievekit.llm.queries import ORACLES, QUERIES
-    except ModuleNotFoundError as e:
-        if e.name not in ("sievekit.llm", "sievekit.llm.queries", "corpus_pipeline"):
-            raise
+    except ImportError as e:
+        warnings.warn(f"without the queries of sievekit.llm: {e}", stacklevel=2)
         return {}, {}
     return QUERIES, ORACLES
 

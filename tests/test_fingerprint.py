@@ -125,3 +125,79 @@ def test_dense_of_edges(spark):
     df = spark.createDataFrame([([],), ([0],), ([4],), ([0, 1, 2, 3, 4],), (None,)], "b array<int>")
     got = [r["d"] for r in df.select(dense_fingerprint("b", 5).alias("d")).collect()]
     assert got == [[0] * 5, [1, 0, 0, 0, 0], [0, 0, 0, 0, 1], [1] * 5, None]
+
+
+def _brute_search(rows, patterns):
+    out = []
+    for i, t in rows:
+        toks = (t or "").lower().split()
+        for pid, p in patterns:
+            at = [list(range(k, k + len(p))) for k in range(len(toks) - len(p) + 1) if toks[k:k + len(p)] == p]
+            if at:
+                out.append((i, pid, len(at), at))
+    return sorted(out, key=str)
+
+
+def test_ten_thousand_patterns_equal_brute_force(spark, monkeypatch):
+    import random
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(rng.choices(words, k=rng.randint(0, 60)))) for k in range(60)] + [(7, None), (7, ""), (8, "w1 w1 w1 w1 W1")]
+    patterns = [(k, rng.choices([*words, "absent"], k=rng.choice([1, 2, 2, 3, 4]))) for k in range(10_000)] + [(-1, ["w1", "w1"])]
+    df = spark.createDataFrame(rows, "id int, t string").repartition(3)
+    table = spark.createDataFrame(patterns, "pattern_id int, pattern array<string>")
+    want = _brute_search(rows, patterns)
+    for limit in (fpo.MAX_BROADCAST_PATTERNS, 10):  # the index broadcast, and shuffled
+        monkeypatch.setattr(fpo, "MAX_BROADCAST_PATTERNS", limit)
+        got = [(r["id"], r["pattern_id"], r["n_matches"], [list(m) for m in r["matches"]]) for r in fpo.pattern_search(df, "id", "t", table).collect()]
+        assert sorted(got, key=str) == want
+    assert fpo.pattern_search(df, "id", "t", []).count() == 0
+
+
+def test_empty_patterns_are_an_error(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "a")], "id int, t string")
+    for bad in ([[]], [["a"], []]):
+        with pytest.raises(ValueError):
+            fpo.pattern_search(df, "id", "t", bad)
+
+
+def test_rarity_against_brute_force(spark):
+    import math
+    rows = [(1, [0, 2, 5]), (2, [2]), (3, []), (4, None), (5, [2, 5]), (5, [7])]
+    df = spark.createDataFrame(rows, "id int, b array<int>")
+    n, df_ = 5, {b: sum(b in (r[1] or []) for r in rows) for b in range(8)}
+    means = [sum(math.log(n / df_[b]) for b in r[1]) / len(r[1]) if r[1] else None for r in rows]
+    lo, hi = min(m for m in means if m is not None), max(m for m in means if m is not None)
+    want = sorted(((r[0], None if m is None else round(1 + 9 * (m - lo) / (hi - lo), 6)) for r, m in zip(rows, means)), key=str)
+    assert sorted(map(tuple, fpo.rarity_score(df, "id", "b", 8).collect()), key=str) == want
+    assert [r["rarity"] for r in fpo.rarity_score(df.where("id = 2"), "id", "b", 8).collect()] == [1.0]
+    assert fpo.rarity_score(df.where("false"), "id", "b", 8).count() == 0
+
+
+def test_set_up_runs_once_a_task(spark, tmp_path):
+    import os
+    import uuid
+
+    import pandas as pd
+    import pytest
+    from pyspark.sql import types as T
+
+    folder = str(tmp_path)
+
+    def setup():
+        open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+        return lambda s: pd.DataFrame({"n": s.str.len().astype("Int64")})
+
+    schema = T.StructType([T.StructField("n", T.LongType())])
+    df = spark.createDataFrame([(f"text {k}" * (k % 3) if k % 5 else None,) for k in range(300)], "t string").repartition(4)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")  # some eight batches a task
+    try:
+        out = fpo.batch_featurize(df, "t", schema=schema, setup=setup, prefix="u_").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(out) == 300 and len(os.listdir(folder)) == 4
+    assert all(r["u_n"] == (None if r["t"] is None else len(r["t"])) and r["featurize_error"] == (r["t"] is None) for r in out)
+    with pytest.raises(ValueError):
+        fpo.batch_featurize(df, "t", lambda s: s, schema, setup=setup)

@@ -8,7 +8,7 @@ MODEL_QUERIES = {"assemble_features", "train_forest", "train_boosted", "score_ro
                  "top_importances", "run_log", "save_model"}
 
 
-ROW_WISE = ["string_descriptors", "hashed_fingerprint", "pattern_keys", "pattern_search", "feature_batch", "columns_with_prefix", "rule_flags",
+ROW_WISE = ["string_descriptors", "hashed_fingerprint", "pattern_keys", "feature_batch", "columns_with_prefix", "rule_flags",
             "weighted_rule_score", "linear_score", "banded_class", "desirability_score", "dense_fingerprint", "batch_featurize"]
 
 
@@ -55,5 +55,56 @@ def test_reports_scan_once(spark):
 
 
 def test_text_queries_read_only_key_and_text(spark):
-    for name in ("string_descriptors", "hashed_fingerprint", "feature_batch", "pattern_search"):
+    for name in ("string_descriptors", "hashed_fingerprint", "feature_batch"):
         assert "ReadSchema: struct<doc_id:bigint,text:string>" in _plan(E.queries()[name](spark, SF)), name
+
+
+def _lines(df, start):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [x.strip(" :+-") for x in plan.splitlines() if x.strip(" :+-").startswith(start)]
+
+
+def test_evaluation_filters_nothing_over_text(spark, monkeypatch):
+    """A filter on label, prediction or score would reach the scan and compute the descriptors there once more."""
+    from sievekit.operators import evaluate as ev
+    seen, cut = [], ev.cut_lineage
+    monkeypatch.setattr(ev, "cut_lineage", lambda df, *a: (seen.append(df), cut(df, *a))[1])
+    for name in ("classification_report", "confusion_matrix", "roc_auc", "roc_curve", "score_histogram", "binary_metrics"):
+        seen.append(E.queries()[name](spark, SF))
+    filters = [x for df in seen for x in _lines(df, "Filter") if "text#" in x]
+    assert len(seen) > 6 and not filters, filters
+
+
+def test_duplicate_counts_move_no_text(spark):
+    for name in ("duplicate_count", "quality_report"):
+        plan = _plan(E.queries()[name](spark, SF))
+        moved = [x for x in plan.splitlines() if "Exchange" in x and "text" in x]
+        keys = [x for x in plan.splitlines() if "partial_count" in x and "keys=[text" in x]
+        assert "Exchange" in plan and not moved and not keys, name
+
+
+def test_rarity_has_one_exchange_of_bits(spark, monkeypatch):
+    from sievekit.operators import fingerprints as fpo
+    monkeypatch.setattr(fpo, "cut_lineage", lambda df, *a: df)
+    df = spark.createDataFrame([(1, [0, 2]), (2, [2]), (3, None)], "id int, bits array<int>")
+    plan = _plan(fpo.rarity_score(df, "id", "bits", 4))
+    assert "hashpartitioning(bit" in plan and "hashpartitioning(id" not in plan and "Join" not in plan
+
+
+def test_similarity_join_never_explodes_whole_sets(spark, monkeypatch):
+    from sievekit.operators import similarity as si
+    written = []
+    cut = si.cut_lineage
+    monkeypatch.setattr(si, "cut_lineage", lambda df, *a: (written.append((a, df)), cut(df, *a))[1])
+    df = spark.createDataFrame([(k, list(range(k, k + 40))) for k in range(60)], "id bigint, bits array<bigint>")
+    si.similarity_join(df, "id", "bits", 0.9).collect()
+    named = {a[0]: df for a, df in written if a}
+    assert "Generate" not in _plan(named["prefixes"]) and "bits" not in "".join(x for x in _plan(named["prefixes"]).splitlines() if "Exchange" in x)
+    assert named["prefix-rows"].count() <= 60 * 5  # places 1 to 5 of 40 at 0.9
+
+
+def test_pattern_plans_do_not_grow(spark):
+    from sievekit.operators import fingerprints as fpo
+    df = spark.createDataFrame([(1, "a b c"), (2, "b c d")], "id int, t string")
+    few, many = (len(_plan(fpo.pattern_search(df, "id", "t", [["a", f"x{k}"] for k in range(n)]))) for n in (3, 10_000))
+    assert abs(few - many) < 200

@@ -87,3 +87,52 @@ def test_too_many_queries(spark):
     assert si.similar_top_k(df, q, "id", "bits", "q", "qb", k=1).count() == 2
     with pytest.raises(ValueError):
         si.similar_top_k(df, q, "id", "bits", "q", "qb", max_queries=1)
+
+
+def test_top_k_with_ties_skips_pairs(spark):
+    """Many equal similarities and sizes that differ widely: the same rows as brute force, from fewer pairs than all."""
+    rng = random.Random(9)
+    rows = [(i, sorted(rng.sample(range(300), rng.choice([3, 8, 8, 20, 60, 150])))) for i in range(400)] + [(1000 + k, []) for k in range(3)] + [(2000, None)]
+    rows += [(3000 + k, rows[0][1]) for k in range(20)]
+    queries = [(f"q{k}", rows[k][1]) for k in range(12)] + [("none", []), ("far", [999])]
+    corpus = spark.createDataFrame(rows, "id bigint, bits array<int>")
+    qs = spark.createDataFrame(queries, "q string, qb array<int>")
+    for method in ("tanimoto", "dice"):
+        got = sorted((r["query_id"], r["rank"], r["id"], r["similarity"]) for r in si.similar_top_k(corpus, qs, "id", "bits", "q", "qb", 4, method).collect())
+        want = []
+        for q, qb in queries:
+            scored = []
+            for i, b in rows:
+                x = len(set(b or []) & set(qb))
+                if x:
+                    scored.append((-(x / (len(b) + len(qb) - x) if method == "tanimoto" else 2 * x / (len(b) + len(qb))), i))
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(sorted(scored)[:4])]
+        assert got == sorted(want)
+    rows_, qs_ = (df.select(i, F.size(b).alias(n), si.packed_words(F.col(b), 16).alias("words")) for df, i, b, n in ((corpus, "id", "bits", "n"), (qs.where("size(qb) > 0"), "q", "qb", "nq")))
+    bounded = si.near_sizes(rows_, qs_.withColumnRenamed("q", "query_id"), 4, "tanimoto")
+    near = bounded.where("query_id <> 'far'")  # nothing bounds a query that no row resembles
+    assert si._pairs_within(rows_, near).count() < 0.9 * 420 * 12
+
+
+def test_packed_words(spark):
+    df = spark.createDataFrame([([0, 63, 64, 127],), ([],), (None,)], "b array<int>")
+    got = [r["w"] for r in df.select(si.packed_words(F.col("b"), 3).alias("w")).collect()]
+    assert got == [[1 - (1 << 63), 1 - (1 << 63), 0], [0, 0, 0], [None] * 3] or got[:2] == [[1 - (1 << 63), 1 - (1 << 63), 0], [0, 0, 0]]
+    with pytest.raises(ValueError):
+        si.similar_top_k(df.select(F.lit(1).alias("id"), "b"), spark.createDataFrame([(1, [1 << 20])], "q int, qb array<int>"), "id", "b", "q", "qb")
+
+
+def test_join_with_a_full_sketch(spark):
+    """Eight counters for thousands of elements: the order says nothing, the pairs are the same."""
+    rng = random.Random(4)
+    rows = [(i, sorted({x + 10_000 * (i // 5) for x in rng.sample(range(60), 50)})) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, bits array<bigint>")
+    got = {(r["id_a"], r["id_b"]): r["similarity"] for r in si.similarity_join(df, "id", "bits", 0.7, sketch_bits=3).collect()}
+    assert got == _brute_pairs(rows, 0.7) and got
+
+
+def test_sketch_counts_every_set(spark):
+    from sievekit.plans.sketch import slot_counts
+    df = spark.createDataFrame([([1, 2, 5],), ([1],), ([],), (None,), ([1 << 40 | 1],)], "s array<bigint>").repartition(3)
+    assert slot_counts(df, "s", 2).tolist() == [0, 4, 1, 0]
+    assert slot_counts(df, "s", 16)[[1, 2, 5]].tolist() == [3, 1, 1]

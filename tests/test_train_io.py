@@ -204,20 +204,20 @@ def _held_out_auc(rows):
     return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("name", ["train_forest_scores", "train_boosted_scores", "score_rows_scores"])
+@pytest.mark.parametrize("name", ["train_forest", "train_boosted", "score_rows"])
 def test_queries_return_scores(spark, separable_tables, monkeypatch, name):
     boosted = tr.train_boosted
     monkeypatch.setattr(E.tr, "train_boosted", lambda x, **o: boosted(x, **{**o, "max_iter": 5}))
     out = E.queries()[name](spark, separable_tables)
     assert out.columns == ["doc_id", "split", "label", "prediction", "score"] and name not in E.oracle_sql()
     rows = out.collect()
-    assert len(rows) == len({r["doc_id"] for r in rows}) == (240 if name == "score_rows_scores" else 216)
+    assert len(rows) == len({r["doc_id"] for r in rows}) == (240 if name == "score_rows" else 216)
     assert _held_out_auc(rows) > 0.95
     assert all(0 <= r["score"] <= 1 and r["prediction"] == (r["score"] > 0.5) for r in rows)
 
 
 def test_saved_model_query_returns_scores(spark, separable_tables):
-    rows = E.queries()["save_model_scores"](spark, separable_tables).collect()
+    rows = E.queries()["save_model"](spark, separable_tables).collect()
     assert len(rows) == 216 and all(r["same_score"] for r in rows)
     assert all(r["prediction"] == r["label"] == (r["doc_id"] % 3 == 0) for r in rows)
     assert len({r["score"] for r in rows}) > 1
@@ -225,8 +225,8 @@ def test_saved_model_query_returns_scores(spark, separable_tables):
 
 def test_search_query_returns_settings_and_best(spark, separable_tables, monkeypatch):
     monkeypatch.setattr(E, "SEARCH_SPACE", {"numTrees": [1, 4], "maxDepth": [1, 3]})
-    out = E.queries()["param_search_trials"](spark, separable_tables)
-    assert out.columns == ["trial", "params", "val_roc_auc", "best", "test_roc_auc"] and "param_search_trials" not in E.oracle_sql()
+    out = E.queries()["param_search"](spark, separable_tables)
+    assert out.columns == ["trial", "params", "val_roc_auc", "best", "test_roc_auc"] and "param_search" not in E.oracle_sql()
     rows = sorted(out.collect(), key=lambda r: r["trial"])
     assert [r["trial"] for r in rows] == [0, 1, 2, 3] and all(0 <= r["val_roc_auc"] <= 1 for r in rows)
     assert {tuple(json.loads(r["params"]).items()) for r in rows} == {(("maxDepth", d), ("numTrees", n)) for d in (1, 3) for n in (1, 4)}
@@ -236,10 +236,117 @@ def test_search_query_returns_settings_and_best(spark, separable_tables, monkeyp
 
 
 def test_importances_query_returns_features(spark, separable_tables):
-    out = E.queries()["top_importances_features"](spark, separable_tables)
-    assert out.columns == ["rank", "feature", "importance"] and "top_importances_features" not in E.oracle_sql()
+    out = E.queries()["top_importances"](spark, separable_tables)
+    assert out.columns == ["rank", "feature", "importance"] and "top_importances" not in E.oracle_sql()
     rows = sorted(out.collect(), key=lambda r: r["rank"])
     assert [r["rank"] for r in rows] == list(range(1, 21)) and len({r["feature"] for r in rows}) == 20
     values = [r["importance"] for r in rows]
     assert values == sorted(values, reverse=True) and 0 < sum(values) <= 1 + 1e-9
     assert {r["feature"] for r in rows} & {"calc_upper_share", "calc_punct_share", "calc_distinct_token_share"}
+
+
+def test_one_tree_of_depth_one_splits_best(spark):
+    """Without bootstrap and with all features, the tree's split is the one of least Gini impurity."""
+    import random
+
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    rng = random.Random(5)
+    rows = [([float(rng.randint(0, 9)), float(rng.randint(0, 9)), float(rng.randint(0, 9))],) for _ in range(150)]
+    rows = [(x, float(x[1] + rng.randint(0, 3) > 6)) for (x,) in rows]
+    df = spark.createDataFrame(rows, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label")
+    model = RandomForestClassifier(numTrees=1, maxDepth=1, featureSubsetStrategy="all", bootstrap=False, seed=1).fit(df)
+    gini = lambda ys: len(ys) * (1 - (sum(ys) / len(ys)) ** 2 - (1 - sum(ys) / len(ys)) ** 2) if ys else 0.0
+    cost = {(f, t): gini([y for x, y in rows if x[f] <= t]) + gini([y for x, y in rows if x[f] > t]) for f in range(3) for t in range(9)}
+    feature, cut = min(cost, key=cost.get)
+    scored = tr.score_rows(model, df.withColumn("x", F.col("features"))).collect()
+    for side in (True, False):
+        part = [r for r in scored if (r["x"][feature] <= cut) == side]
+        share = sum(r["label"] for r in part) / len(part)
+        assert all(abs(r["score"] - share) < 1e-12 for r in part)
+
+
+def test_digest_finds_a_changed_cell(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, [1]), (2, None, [1]), (3, "", [])], "k int, s string, v array<int>")
+    base = io.content_digest(df).first()
+    assert io.content_digest(df.repartition(4).select("v", "k", "s")).first() == base
+    for other in (df.withColumn("s", F.when(F.col("k") == 3, F.lit("x")).otherwise(F.col("s"))), df.distinct(), df.unionByName(df.where("k = 2")).unionByName(df.where("k = 2")),
+                  df.withColumn("s", F.coalesce("s", F.lit(""))), df.withColumnRenamed("s", "z"), df.where("false")):
+        assert io.content_digest(other).first() != base
+    path = scratch_path(spark, "verified")
+    io.write_table(df.withColumn("s", F.when(F.col("k") == 3, F.lit("x")).otherwise(F.col("s"))), path)
+    v = io.verify_persisted(spark, path, df).first()
+    assert v["rows_written"] == v["rows_read"] == 4 and not v["matches"]
+
+
+def test_verified_writes_run_the_source_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    df = spark.range(100).mapInArrow(count, "id bigint").repartition(2)
+    assert io.write_verified(df, scratch_path(spark, "once")).first()["matches"] and runs.value == 100
+    assert io.write_verified(spark.range(0), scratch_path(spark, "none")).first() == (0, 0, True)
+
+
+def test_batches_can_be_loaded_again(spark):
+    path = scratch_path(spark, "batches")
+    load = lambda day, n: io.write_batches(spark.range(n).withColumn("batch_id", F.lit(day)), path)
+    counts = lambda: {r["batch_id"]: r["count"] for r in spark.read.parquet(path).groupBy("batch_id").count().collect()}
+    load("d1", 10)
+    load("d2", 20)
+    load("d1", 10)
+    assert counts() == {"d1": 10, "d2": 20}
+    load("d1", 4)
+    assert counts() == {"d1": 4, "d2": 20}
+    assert io.drop_batch(spark, path, "d2") and not io.drop_batch(spark, path, "d3")
+    assert counts() == {"d1": 4}
+
+
+def test_rejects_hold_every_lost_value(spark):
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("a", T.IntegerType()), T.StructField("b", T.DateType()), T.StructField("c", T.StringType())])
+    df = spark.createDataFrame([(1, "5", "2024-01-02", "x"), (2, "five", "never", None), (3, None, "2024-02-30", "y"), (3, "5.5.5", None, "z")], "k int, a string, b string, d string")
+    got = sorted(map(tuple, io.rejects(df, schema, ["k"]).collect()))
+    assert got == [(2, "a", "int", "five"), (2, "b", "date", "never"), (3, "a", "int", "5.5.5"), (3, "b", "date", "2024-02-30")]
+    drift = {r["column_name"]: (r["change"], r["n_lost"]) for r in io.schema_drift(df, schema).collect()}
+    assert drift == {"k": ("retyped", 0), "a": ("retyped", 2), "b": ("retyped", 2), "c": ("missing", 0), "d": ("extra", 0)}
+    lost = sum(r[c] is not None for r in df.collect() for c in "ab") - sum(r[c] is not None for r in io.conform(df, schema).collect() for c in "ab")
+    assert lost == len(got)
+    assert io.rejects(df, df.schema, ["k"]).count() == 0 and {r["change"] for r in io.schema_drift(df, df.schema).collect()} == {"same"}
+    assert io.rejects(df.where("false"), schema, ["k"]).count() == 0
+
+
+def test_a_stopped_search_goes_on(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    x = _separable(spark, 60)
+    path = scratch_path(spark, "ledger")
+    space, fits = {"numTrees": [1, 2, 3, 4, 5], "maxDepth": [1, 2]}, []
+
+    def search(stop):
+        log = rn.RunLog(spark, path)
+        run = log.find("search") or log.start_run("search")
+
+        def build(p):
+            if len(fits) == stop:
+                raise KeyboardInterrupt
+            fits.append(p)
+            return RandomForestClassifier(seed=1, **p)
+        return tr.param_search(x, x, build, space, n_trials=10, parallelism=1, ledger=log, run_id=run)
+
+    with pytest.raises(KeyboardInterrupt):
+        search(7)
+    assert len(fits) == 7
+    model, trials = search(None)
+    again = [json.loads(r["params"]) for r in sorted(trials.collect(), key=lambda r: r["trial"])]
+    assert fits[:7] == again[:7] and fits[7:10] == again[7:] and len(fits) <= 11  # and the best, if its model was lost
+    whole, _ = tr.param_search(x, x, lambda p: RandomForestClassifier(seed=1, **p), space, n_trials=10)
+    assert model.getNumTrees == whole.getNumTrees
+    rn.RunLog(spark, path).start_run("another")
+    log = rn.RunLog(spark, path)
+    run = log.find("search")
+    assert {p.split("run_id=")[1].split("/")[0] for p in log.of_run(run).inputFiles()} == {run}
+    assert len(log.trials(run)) == 10 and log.trials("unknown") == {} and log.find("unknown") is None
