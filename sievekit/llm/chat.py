@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import picked
+
 START, NEXT, END = "<|start|>", "<|next|>", "<|end|>\n"
 
 
@@ -48,8 +50,8 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
     The only shuffle brings a conversation's turns together, which its one
     output row needs; the work grows in proportion to them."""
-    role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, text_col))
-    rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
+    rows = picked(turns, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col)
+    rows = rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text")})
     # where each text will lie: running sums of the lengths of what comes before it
     w = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
     other = lambda near: near.over(w).isNull() | (near.over(w) != F.col("role"))

@@ -66,7 +66,18 @@ def held(key, make=None):
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the key and the text, under fixed names, so that other columns of
     the caller's table can neither clash nor be read."""
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return picked(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1 and so on, which no name added to them can clash with."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+
+
+def picked(df: DataFrame, **names: str) -> DataFrame:
+    """Columns of ``df`` under new names, found by their exact spelling: another
+    column may differ from one of them by case alone."""
+    return numbered(df).select(*(F.col(f"c{df.columns.index(c)}").alias(k) for k, c in names.items()))
 
 
 def one_of_each(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, id_text, id_text_batches, stored, word_hashes
+from .common import gram_hashes, id_text, id_text_batches, numbered, stored, word_hashes
 
 #: Letters, digits and every non-ASCII byte are word bytes; A-Z are lower-cased.
 _TO_WORD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -176,13 +176,16 @@ _HITS = pa.list_(pa.struct([("whole", pa.int32()), ("hash", pa.int64()), ("pos",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Rows of ``docs`` without a hit word, all columns kept.  Rows are matched
-    by key and text, so repeated or null keys are judged by their own text."""
+    """Rows of ``docs`` without a hit word, all columns kept, whatever their names.
+    Rows are matched by key and text, so repeated or null keys are judged by
+    their own text; repeated rows stay or go together.  Null and empty texts are
+    hit by nothing and stay; an empty table or benchmark changes nothing."""
     bad = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options).where("n_hit > 0").select(
         F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_text")).distinct()
     bad = stored(bad, "contaminated")  # its size is then known, and a small one is broadcast
-    key = F.xxhash64(F.col(text_col).cast("string")) == F.col("__bad_text")
-    return docs.join(bad, key & F.col(id_col).cast("bigint").eqNullSafe(F.col("__bad_id")), "left_anti")
+    plain, id_at, text_at = numbered(docs), docs.columns.index(id_col), docs.columns.index(text_col)
+    key = F.xxhash64(F.col(f"c{text_at}").cast("string")) == F.col("__bad_text")
+    return plain.join(bad, key & F.col(f"c{id_at}").cast("bigint").eqNullSafe(F.col("__bad_id")), "left_anti").toDF(*docs.columns)
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

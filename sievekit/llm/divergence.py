@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import picked, stored
 
 #: Bytes of text that are cut and sorted at a time (a longer text goes alone).
 BLOCK = 1 << 22
@@ -180,6 +180,10 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from held.batches(*map(list, zip(*ids)))
 
 
+def _filled(rows: DataFrame) -> DataFrame:
+    return rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in rows.columns))
+
+
 def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """lang, source, term, n (occurrences) and texts (rows that have it), one
     row for each group and term; null cells count as ''.
@@ -187,7 +191,7 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
     Every row is a text of its own, repeated ones too.  Texts without a term
     and empty tables give no row.  Each task counts its rows first; the counts
     are dealt by language and term."""
-    rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(k) for k, c in (("lang", lang_col), ("source", source_col), ("text", text_col))))
+    rows = _filled(picked(docs, lang=lang_col, source=source_col, text=text_col))
     parts = rows.mapInArrow(_count_task, "lang string, source string, term string, n bigint, texts bigint")
     return parts.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
 
@@ -278,7 +282,7 @@ def divergence_audit(docs: DataFrame, lang_col: str = "lang", source_col: str =
         "lang_texts": F.sum("texts").over(of_term), "lang_n": F.sum("n").over(of_term),
         "first": F.row_number().over(of_term.orderBy("source")) == 1}).where(F.col("lang_texts") >= least_texts).select(
             "lang", "source", "term", "n", "lang_n", "first"), "kept-terms")
-    every = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(k) for k, c in (("lang", lang_col), ("source", source_col)))).distinct()
+    every = _filled(picked(docs, lang=lang_col, source=source_col)).distinct()
     of_group = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("has"))
     of_lang = kept.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.count_if("first").alias("kinds"))
     groups = every.join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left").fillna(0)

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import id_text, one_of_each, picked
+
 WORDS, FRACTION, FLOOR = 5, 16, 16
 #: Kept hashes are at most this, of a signed 64-bit range.
 LIMIT = -(1 << 63) + (1 << 64) // FRACTION - 1
@@ -72,7 +74,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row for each row of ``docs``: doc_id, n_chars (code points), sketch.
     Null texts count as empty; repeated rows give repeated results; only the key
     and the text are read; no shuffle."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = picked(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     return add_sketch(rows, "text", "sketch").select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), "sketch")
 
 
@@ -82,8 +84,9 @@ def with_next(docs: DataFrame, key: str, carry: list[str], rows_each: int = 250,
     comes the first.
 
     Rows are dealt to ranges of the key, about ``rows_each`` rows each and
-    ``most`` ranges at most; a copy of each range's first row closes the range
-    before.  So rows are shuffled once, and no window sees all of them."""
+    ``most`` ranges at most, so that above ``rows_each * most`` rows ranges grow
+    with the table; rows of one key share a range.  A copy of each range's first
+    row closes the range before."""
     n = docs.count()
     if not n:
         return docs.select("*", *(F.col(c).alias(f"next_{c}") for c in carry))
@@ -96,6 +99,7 @@ def with_next(docs: DataFrame, key: str, carry: list[str], rows_each: int = 250,
     order = sorted(firsts)
     before = F.create_map(*(F.lit(x) for k, p in enumerate(order) for x in (firsts[p], order[k - 1])))
     closing = docs.where(F.col(key).isin(list(firsts.values()))).select("*", F.try_element_at(before, F.col(key)).alias("__part"), F.lit(1).alias("__extra"))
+    closing = one_of_each(closing, ["__part"], [F.col(key), *map(F.col, carry)])
     rows = docs.select("*", part.alias("__part"), F.lit(0).alias("__extra")).unionByName(closing)
     w = Window.partitionBy("__part").orderBy("__extra", key, *carry)
     return rows.select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in carry)).where("__extra = 0").drop("__part", "__extra")
@@ -107,7 +111,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     key (null keys first, equal keys by text; after the last the first):
     doc_id, n_chars, edited_sha256, sketch, edited_sketch, near_edited,
     near_next.  Null texts count as empty, as do missing ends of short texts."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = id_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
     rows = with_next(add_sketch(rows, "text", "sketch"), "key", ["text", "sketch"])
     rows = rows.withColumn("n_chars", F.char_length("text"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held, parts_of
+from .common import held, numbered, parts_of, picked
 
 #: Symbols: 0 is a word boundary, 1-26 a-z, any other letter its code point.
 _BITS = 21
@@ -125,8 +125,8 @@ def learn_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     Null languages and texts without letters teach nothing.  Each task sends one
     vector for each language it met; their sum has ``dims`` numbers a language,
     and more than ``most`` languages are an error."""
-    rows = (docs if where is None else docs.where(where)).select(
-        F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL")
+    rows = picked(docs if where is None else docs.where(where), text=text_col, lang=lang_col)
+    rows = rows.select(F.col("text").cast("string"), F.col("lang").cast("string")).where("lang IS NOT NULL")
 
     def run(batches):
         sp, sums = space(dims, seed), {}
@@ -158,7 +158,8 @@ def predict_languages(docs: DataFrame, prototypes: dict[str, np.ndarray], text_c
     letter, and for all texts if nothing was learned.  Ties go to the first
     language by name.  All rows and columns stay; columns of the result's names
     are replaced.  One map over the rows; whole texts."""
-    docs = docs.drop(lang_as, score_as)
+    kept = [k for k, c in enumerate(docs.columns) if c not in (lang_as, score_as)]
+    docs = numbered(docs).select(*(f"c{k}" for k in kept)).toDF(*(docs.columns[k] for k in kept))
     names, at = list(prototypes), docs.columns.index(text_col)
     matrix = np.array([prototypes[k] for k in names], np.float32).reshape(-1, dims)
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, gram_hashes, held, id_text, id_text_batches, stored
+from .common import discard, gram_hashes, held, id_text, id_text_batches, numbered, stored
 from .components import connected_components
 
 #: The frequency table has 2**SLOT_BITS slots and travels in chunks.
@@ -454,8 +454,9 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each component, the one with the smallest key
-    (null keys last, equal ones by a hash of the text); rows without a word all
-    stay.  All columns stay."""
+    (null keys last, equal ones by a hash of the text; of repeated rows one);
+    rows without a word all stay, as null and empty texts have none.  All columns
+    stay, whatever their names; an empty table stays empty."""
     found = stored(ngram_join(docs, id_col=id_col, text_col=text_col, **options).where("component IS NOT NULL"), "components")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     best = found.groupBy("component").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("of")).where("of > 1")
@@ -466,9 +467,10 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marks = stored(gone.unionByName(again).distinct().toDF("__id", "__key", "__again"), "gone")
     if marks.count() <= MOST_BROADCAST:
         marks = F.broadcast(marks)  # else the texts are shuffled
-    same = (F.xxhash64(F.col(text_col).cast("string")) == F.col("__key")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("__id"))
-    left = docs.join(marks.where("__again = 0"), same, "left_anti")
-    if marks.where("__again = 1").isEmpty():
-        return left
-    repeated = left.join(marks.where("__again = 1"), same).drop("__again").dropDuplicates(["__id", "__key"]).select(*docs.columns)
-    return left.join(marks.where("__again = 1"), same, "left_anti").unionByName(repeated)
+    plain, id_at, text_at = numbered(docs), docs.columns.index(id_col), docs.columns.index(text_col)
+    same = (F.xxhash64(F.col(f"c{text_at}").cast("string")) == F.col("__key")) & F.col(f"c{id_at}").cast("bigint").eqNullSafe(F.col("__id"))
+    left = plain.join(marks.where("__again = 0"), same, "left_anti")
+    if not marks.where("__again = 1").isEmpty():
+        repeated = left.join(marks.where("__again = 1"), same).drop("__again").dropDuplicates(["__id", "__key"]).select(*plain.columns)
+        left = left.join(marks.where("__again = 1"), same, "left_anti").unionByName(repeated)
+    return left.toDF(*docs.columns)

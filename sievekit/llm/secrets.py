@@ -365,7 +365,9 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]",
                    rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every span of its text replaced by ``mask`` (overlapping
-    spans by one); all columns and rows stay, a null text stays null."""
+    spans by one); all columns and rows stay, also repeated ones, null keys and
+    columns of any name.  A null text stays null, an empty one empty; texts are
+    scanned whole; an empty table stays empty."""
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -388,7 +390,8 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET
 
 
 def secrets_digest(docs: DataFrame) -> DataFrame:
-    """The contract's columns, from the spans of ``scan_secrets``."""
+    """The contract's columns, from the spans of ``scan_secrets``, a row for each
+    row of ``docs``; a null or empty text has no spans."""
     found = scan_secrets(docs)
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in BASE_RULES]))
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

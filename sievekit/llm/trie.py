@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import picked, stored
 
 #: Bytes of a turn's id and of a prefix's key (of their SHA-256).
 WIDTH = 16
@@ -268,10 +268,11 @@ def turn_sequences(turns: DataFrame, conv_col: str = "conv_id", turn_col: str =
     digest of role and text, chars the text's code points; null role or text is
     empty; null turn numbers come first, equal ones go by id.  Rows with a null
     key belong to no conversation.  The texts themselves never move."""
-    role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, text_col))
+    turns = picked(turns, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col)
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     turn_id = F.substring(F.sha2(F.concat(F.char_length(role).cast("string"), F.lit(":"), role, text).cast("binary"), 256), 1, 2 * WIDTH)
-    rows = turns.select(F.col(conv_col).cast("bigint").alias("conv_id"), F.struct(
-        F.col(turn_col).alias("turn"), turn_id.alias("id"), F.char_length(text).alias("chars")).alias("t")).where("conv_id IS NOT NULL")
+    rows = turns.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.struct(
+        "turn", turn_id.alias("id"), F.char_length(text).alias("chars")).alias("t")).where("conv_id IS NOT NULL")
     return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t")).select(
         "conv_id", F.transform("t", lambda t: F.struct(t["id"].alias("id"), t["chars"].alias("chars"))).alias("turns"))
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import types as T
 
-CLASH = ["spans", "node", "token", "row", "score", "lang", "label", "hash", "key", "sketch", "n", "text_key", "component", "0", "1", "hits"]
+CLASH = ["spans", "node", "token", "row", "score", "lang", "label", "hash", "key", "sketch", "n", "text_key", "component", "0", "1", "hits", "__id", "__key", "__again", "__bad_id", "__bad_text", "__lang", "__score", "c0", "c1", "nth"]
 
 
 @pytest.fixture(scope="session")

@@ -1,4 +1,5 @@
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from sievekit.llm.common import stored
@@ -65,3 +66,20 @@ def test_near_duplicates_with_null_and_repeated_keys(spark, docs_of):
             (8, "seldom seen words stand here alone"), (7, "seldom seen words stand here alone"), (None, "keyless text of six plain words"), (None, "keyless text of six plain words")]
     kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs_of(rows), SF).collect()), key=str)
     assert kept == sorted([(3, rows[5][1]), (4, rows[4][1]), (9, None), (9, None), (None, ""), (7, rows[10][1]), (None, rows[11][1])], key=str)
+
+
+def test_a_column_that_differs_by_case_alone(spark):
+    """TEXT beside text, DOC_ID beside doc_id: only the exact names are read, all come back."""
+    from sievekit.llm.bpe import encode_documents
+    from sievekit.llm.decontaminate import drop_contaminated
+    from sievekit.llm.language import learn_languages, predict_languages
+    from sievekit.llm.ngram_join import keep_one_each
+    from sievekit.llm.secrets import redact_secrets
+
+    docs = spark.createDataFrame([(1, "some words in one text of seven", "en", "x", 9), (2, "some words in one text of seven", "en", "x", 9)],
+                                 "doc_id bigint, text string, lang string, TEXT string, DOC_ID int")
+    items = spark.createDataFrame([(1, "x", "no shared words here")], "item_id bigint, TEXT string, text string")
+    outs = [keep_one_each(docs), drop_contaminated(docs, items), redact_secrets(docs), predict_languages(docs, learn_languages(docs)).drop("lang_pred", "score")]
+    assert [o.columns for o in outs] == [docs.columns] * 4
+    assert [len(o.collect()) for o in outs] == [1, 2, 2, 2] and outs[0].first()[0] == 1
+    assert sorted(r["doc_id"] for r in encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()) == [1, 2]
