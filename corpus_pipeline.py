@@ -22,30 +22,40 @@ from sievekit.session import clear_scratch, scratch_made
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go; ``lang`` becomes the
-    recognised one."""
-    named = predict_languages(docs, learn_languages(docs), lang_as="__lang", score_as="__score").where("__lang <> 'und'")
-    return named.withColumn("lang", F.col("__lang")).select(*docs.columns)
+    """Documents without a recognisable language go: null and empty texts and
+    those without a letter.  ``lang`` becomes the recognised one.  Repeated rows
+    and null keys stay as they are; ties go to the first language by name; an
+    empty table stays empty."""
+    columns = docs.columns
+    named = predict_languages(docs, learn_languages(docs), lang_as="named lang", score_as="named score").where("`named lang` <> 'und'")
+    return named.withColumn("lang", F.col("named lang")).select(*columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity
-    of 0.8 or more) stays, that with the smallest id."""
+    of 0.8 or more) stays, that with the smallest id (null ids last, equal ones by
+    a hash of the text).  Null, empty and wordless texts are near nothing and
+    stay; an empty table stays empty."""
     return keep_one_each(docs, words=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share a benchmark window go."""
+    """Documents that share a benchmark window go.  Null and empty texts share
+    none; repeated rows go or stay together; an empty table or benchmark changes
+    nothing."""
     return drop_contaminated(docs, spark.read.parquet(os.path.join(sf_dir, "benchmark.parquet")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in texts are masked; ``n_chars`` follows."""
+    """Secrets in texts are masked; ``n_chars`` follows.  No document goes; null
+    texts stay null, with a null ``n_chars``; an empty table stays empty."""
     return redact_secrets(docs).withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents and their places in sequences."""
+    """Pieces of the remaining documents and their places in sequences.  A null or
+    empty text is one piece of the end token; repeated rows and null keys are
+    packed like any other; an empty table gives no rows."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -61,9 +61,11 @@ def featurize(spark: SparkSession, bronze: str, text_col: str, target: str,
 
 def train(spark: SparkSession, silver: str, label_col: str, n_bits: int, run_log_path: str,
           search_space: Mapping[str, Sequence] | None = None, n_trials: int = 20,
-          seed: int = 42, bits_col: str = "bits") -> dict[str, object]:
-    """Assemble, weight, train a forest (optionally after a random search),
-    score every split and log metrics per split into the run table."""
+          seed: int = 42, bits_col: str = "bits", parallelism: int = 2) -> dict[str, object]:
+    """Assemble, weight, train a forest (optionally after a random search, whose
+    trials are logged as they end and whose best setting is fitted again on
+    train and validation rows), score every split and log metrics per split into
+    the run table."""
     from pyspark.ml.classification import RandomForestClassifier
 
     data = io.read_table(spark, silver)
@@ -77,7 +79,8 @@ def train(spark: SparkSession, silver: str, label_col: str, n_bits: int, run_log
         model, trials = tr.param_search(
             train_df, val_df,
             lambda p: RandomForestClassifier(seed=seed, weightCol="weight", **p),
-            search_space, n_trials=n_trials, seed=seed)
+            search_space, n_trials=n_trials, seed=seed, parallelism=parallelism,
+            refit=train_df.unionByName(val_df), ledger=log, run_id=run)
         log.log_table(run, "trials", trials, "params", "val_roc_auc")
     else:
         model = tr.train_forest(train_df, weight_col="weight", seed=seed)
