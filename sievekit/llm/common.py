@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterable, Iterator
 
@@ -59,6 +60,8 @@ def held(key, make=None):
     if key not in _HELD:
         _HELD.clear()
         pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)  # what was freed goes back to the system
         _HELD[key] = make() if make else None
     return _HELD[key]
 
