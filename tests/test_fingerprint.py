@@ -201,3 +201,34 @@ def test_set_up_runs_once_a_task(spark, tmp_path):
     assert all(r["u_n"] == (None if r["t"] is None else len(r["t"])) and r["featurize_error"] == (r["t"] is None) for r in out)
     with pytest.raises(ValueError):
         fpo.batch_featurize(df, "t", lambda s: s, schema, setup=setup)
+
+
+def test_fingerprint_hashes_a_token_once_a_batch(spark, monkeypatch):
+    """Windows of all rows at once, rows cut apart again; a distinct token costs one digest."""
+    import hashlib
+
+    import pyarrow as pa
+    from sievekit.functions import fingerprint as fp
+    rows = [["a", "b", "a"], None, [], ["b", None, "a"], ["a"] * 5, ["c", "b"]]
+    seen, md5 = [], hashlib.md5
+    monkeypatch.setattr(fp.hashlib, "md5", lambda x, **k: (seen.append(x), md5(x, **k))[1])
+    monkeypatch.setattr(fp, "MOST_TOKENS", 4)
+    h = {t: int(md5(t.encode()).hexdigest()[:8], 16) for t in "abc"}
+
+    def brute(row, n_bits):
+        out = set()
+        for k in range(3):
+            for i in range(len(row) - 2 * k):
+                window, runs = row[i:i + 2 * k + 1], []
+                for factor, prime in (fp.FOLDED,) if n_bits else fp.UNFOLDED:
+                    v = k
+                    for t in window:
+                        v = None if t is None or v is None else (v * factor + h[t]) % prime
+                    runs.append(v)
+                out.add(None if None in runs else runs[0] % n_bits if n_bits else runs[0] * (1 << 30) + runs[1])
+        return sorted(out - {None}) + [None] * (None in out)
+    for n_bits in (None, 64):
+        seen.clear()
+        got = fp._fingerprints(pa.array(rows, pa.list_(pa.string())), 2, n_bits).to_pylist()
+        assert got == [None if r is None else brute(r, n_bits) for r in rows]
+        assert sorted(seen) == [b"a", b"b", b"c"]
