@@ -29,7 +29,7 @@ def tokens(text, pattern: str | None = None, lowercase: bool = True) -> Column:
         s = F.lower(s)
     if pattern is not None:
         return F.regexp_extract_all(s, F.lit(pattern), 0)
-    return F.filter(F.split(s, WHITESPACE), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(s, WHITESPACE), "")
 
 
 def char_count(text, sub: str) -> Column:

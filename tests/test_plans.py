@@ -108,3 +108,14 @@ def test_pattern_plans_do_not_grow(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "b c d")], "id int, t string")
     few, many = (len(_plan(fpo.pattern_search(df, "id", "t", [["a", f"x{k}"] for k in range(n)]))) for n in (3, 10_000))
     assert abs(few - many) < 200
+
+
+def test_feature_batch_splits_texts_once_and_counts_runs(spark):
+    """Tokens feed descriptors and fingerprint alike; characters that do not count are taken out a run at a time."""
+    from sievekit.operators import fingerprints as fpo
+    df = spark.createDataFrame([(1, "Ab1!? é€😀~`x\n\n2"), (2, ""), (3, None), (4, "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")], "id int, text string")
+    out = fpo.feature_batch(df, "text")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(lower(") == 1 and "[^0-9]+" in plan and "[^0-9]," not in plan
+    got = {r["id"]: (r["calc_n_chars"], r["calc_digit_share"], r["calc_upper_share"], r["calc_punct_share"]) for r in out.collect()}
+    assert got == {1: (15, 2 / 15, 1 / 15, 4 / 15), 2: (0, 0.0, 0.0, 0.0), 3: (None, None, None, None), 4: (32, 0.0, 0.0, 1.0)}
