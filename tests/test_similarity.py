@@ -136,3 +136,13 @@ def test_sketch_counts_every_set(spark):
     df = spark.createDataFrame([([1, 2, 5],), ([1],), ([],), (None,), ([1 << 40 | 1],)], "s array<bigint>").repartition(3)
     assert slot_counts(df, "s", 2).tolist() == [0, 4, 1, 0]
     assert slot_counts(df, "s", 16)[[1, 2, 5]].tolist() == [3, 1, 1]
+
+
+def test_similarity_join_writes_no_whole_sets(spark, monkeypatch):
+    written, cut = [], si.cut_lineage
+    monkeypatch.setattr(si, "cut_lineage", lambda df, *a: (written.append((a, df.columns)), cut(df, *a))[1])
+    df = spark.createDataFrame([(k, list(range(k // 2, k // 2 + 40))) for k in range(20)] + [(20, []), (21, None)], "id bigint, bits array<bigint>")
+    got = si.similarity_join(df, "id", "bits", 0.9).collect()
+    assert {(r["id_a"], r["id_b"]) for r in got} == {(k, j) for k in range(0, 20, 2) for j in (k + 2, k + 4) if j < 20}
+    assert {(r["copies_a"], r["copies_b"]) for r in got} == {(2, 2)}
+    assert written and not [a for a, columns in written if "bits" in columns]
