@@ -47,7 +47,7 @@ class Encoder:
     other characters than plain Latin ones, or with the text of a special
     token, go to the tokenizer whole."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 100_000):
         from tokenizers import Tokenizer
 
         self.tok, self.limit, self.words, self.parts = Tokenizer.from_file(path), limit, {}, {}

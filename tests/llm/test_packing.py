@@ -94,3 +94,14 @@ def test_whole_table_is_packed_tightly(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     got = pack_documents(docs, PATH).collect()
     assert check(rows, got, 2048) <= 1.02 * -(-sum(r["length"] for r in got) // 2048) + 1
+
+
+def test_a_worker_remembers_a_bounded_number_of_words():
+    """Two workers of an executor hold these tables beside a JVM that has grown in earlier stages."""
+    enc = Encoder(PATH)
+    assert enc.limit <= 100_000
+    words = [f"{a}{b}{c}" for a in "bcdfghjklmnpqrstvwxz" for b in "aeiou" for c in range(1100)]
+    for at in range(0, len(words), 10_000):
+        enc.encode([" ".join(words[at:at + 10_000])])
+    assert len(enc.words) <= 100_000 and len(enc.parts) <= 200_000
+    assert enc.encode([" ".join(words[-50:])]) == enc.ids([" ".join(words[-50:])])
