@@ -146,3 +146,14 @@ def test_similarity_join_writes_no_whole_sets(spark, monkeypatch):
     assert {(r["id_a"], r["id_b"]) for r in got} == {(k, j) for k in range(0, 20, 2) for j in (k + 2, k + 4) if j < 20}
     assert {(r["copies_a"], r["copies_b"]) for r in got} == {(2, 2)}
     assert written and not [a for a, columns in written if "bits" in columns]
+
+
+def test_similarity_join_deals_prefix_rows_once(spark, monkeypatch):
+    """Seldom elements meet through one exchange, frequent ones through salts, whichever are which."""
+    written, cut = {}, si.cut_lineage
+    monkeypatch.setattr(si, "cut_lineage", lambda df, *a: (written.update({a[0] if a else "": df}), cut(df, *a))[1])
+    df = spark.createDataFrame([(k, list(range(k // 4, k // 4 + 30))) for k in range(60)], "id bigint, bits array<bigint>")
+    some = [sorted(map(tuple, si.similarity_join(df, "id", "bits", 0.8, salt_rows=s).collect())) for s in (1, 3, 20_000)]
+    assert len(some[0]) == 3 * 15 - 6 and some[0] == some[1] == some[2]
+    plan = written["candidates"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2 and "c#" not in plan  # the same one on both sides
