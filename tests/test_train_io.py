@@ -57,6 +57,19 @@ def test_param_search_and_importances(spark):
     assert len(imp) <= 5 and imp == sorted(imp, key=lambda r: -r["importance"])
 
 
+def test_fits_share_the_cores(spark, monkeypatch):
+    """Partitions of a fit's rows follow the cores it has, not the files of its input."""
+    from pyspark.ml.classification import RandomForestClassifier
+    x, cores, seen = _separable(spark, 120).repartition(40), spark.sparkContext.defaultParallelism, []
+    fit = RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: (seen.append(df.rdd.getNumPartitions()), fit(self, df))[1])
+    assert tr.train_forest(x, num_trees=2, max_depth=2, written=True).getNumTrees == 2
+    tr.param_search(x, x, lambda p: RandomForestClassifier(seed=1, **p), {"numTrees": [1, 2]}, n_trials=2, parallelism=2, refit=x)
+    assert seen[0] <= cores and max(seen[1:3]) <= max(1, cores // 2) and seen[3] <= cores and len(seen) == 4
+    monkeypatch.setattr(tr, "_heap_mb", lambda spark: 1)  # 120 rows of 17 features: more than a sixteenth of 1 / 1024 MB
+    assert tr.fit_partitions(x, "features", 10_000) == 1 and tr.fit_partitions(x.crossJoin(spark.range(100)), "features", 10_000) == 13
+
+
 def test_save_and_load_model(spark):
     x = _separable(spark, 60)
     model = tr.train_forest(x, num_trees=3, max_depth=3)
