@@ -36,30 +36,42 @@ _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile("[^\\t\\n\\r -~À-ÖØ-öø-ÿ]")
 #: Fixed: the tokenizer file's own splitting pattern, for the characters above.
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
+#: Fixed: the normalizer of the tokenizer file; it leaves lower-cased plain parts as they are.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     The tokenizer never merges across white space or across the parts that its
-    splitting pattern yields, so ids of words and of parts are remembered
-    (``limit`` words and twice as many parts at most) and joined.  Texts with
-    other characters than plain Latin ones, or with the text of a special
-    token, go to the tokenizer whole."""
+    splitting pattern yields, so ids of lower-cased parts are remembered (twice
+    ``limit`` at most) and joined: "Word", "word," and "(word)" share an entry,
+    and no whole words are kept.  New parts go to the tokenizer's model without
+    being normalized and split once more.  Texts with other characters than
+    plain Latin ones, or with the text of a special token, go to the tokenizer
+    whole."""
 
     def __init__(self, path: str, limit: int = 100_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tok, self.limit, self.words, self.parts = Tokenizer.from_file(path), limit, {}, {}
+        self.tok, self.limit, self.parts = Tokenizer.from_file(path), limit, {}
+        self.words: dict = {}  # stays empty: parts alone are remembered
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         spec = json.loads(self.tok.to_str())
-        split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex", "")
-        self.by_parts = split == "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        split = steps[0].get("pattern", {}).get("Regex", "")
+        self.by_parts = (split == "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+                         and spec.get("normalizer") == _NORMALIZER)
         self.special = re.compile("|".join(map(re.escape, added)) or "(?!)")
         close = spec["model"].get("end_of_word_suffix")
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[k for t, k in vocab.items() if close and t.endswith(close)]] = True
+        if self.by_parts:
+            self.plain = Tokenizer(self.tok.model)  # the same model, not a second one
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), *(self.tok.pre_tokenizer[k] for k in range(1, len(steps)))])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -68,7 +80,7 @@ class Encoder:
         """Ids of parts, many in one call: a part's last id is one that ends a word."""
         for at in range(0, len(parts), 500):
             some = parts[at:at + 500]
-            got = np.asarray(self.tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            got = np.asarray(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[got]) + 1)).tolist()
             if len(ends) == len(some):
                 data = got.tobytes()
@@ -86,20 +98,15 @@ class Encoder:
         for k, ids in zip(whole, self.ids([texts[k] for k in whole])):
             out[k] = ids
         for at in range(0, len(plain), 50):
-            some = [(k, texts[k].split()) for k in plain[at:at + 50]]
-            new = list(set().union(*(w for _, w in some)).difference(self.words))
-            split = [_SPLIT.findall(w.lower()) for w in new]
-            parts = list({p for ps in split for p in ps if p not in self.parts})
-            self.learn(parts)
+            some = [(k, _SPLIT.findall(texts[k].lower())) for k in plain[at:at + 50]]
+            new = list(set().union(*(ps for _, ps in some)).difference(self.parts))
+            self.learn(new)
             get = self.parts.__getitem__
-            self.words.update(zip(new, (b"".join(map(get, ps)) for ps in split)))
-            get = self.words.__getitem__
-            for k, words in some:
-                out[k] = b"".join(map(get, words))
+            for k, ps in some:
+                out[k] = b"".join(map(get, ps))
             # when full, what came first stays: it is the most frequent
-            for known, fresh, most in ((self.words, new, self.limit), (self.parts, parts, 2 * self.limit)):
-                for w in fresh[:max(0, len(known) - most)]:
-                    del known[w]
+            for p in new[:max(0, len(self.parts) - 2 * self.limit)]:
+                del self.parts[p]
         return out
 
 

@@ -105,3 +105,22 @@ def test_a_worker_remembers_a_bounded_number_of_words():
         enc.encode([" ".join(words[at:at + 10_000])])
     assert len(enc.words) <= 100_000 and len(enc.parts) <= 200_000
     assert enc.encode([" ".join(words[-50:])]) == enc.ids([" ".join(words[-50:])])
+
+
+def test_forms_of_a_word_share_an_entry():
+    """Capitals and marks around a word make no further entries, and a new part is not normalized and split again."""
+    enc = Encoder(PATH)
+    texts = [f"{a}{w}{b}" for w in ("straße", "Straße", "STRAßE") for a in ("", "(", "##") for b in ("", ".", ",", "!!", "'s", "7")]
+    assert enc.encode(texts) == enc.ids(texts)
+    assert not enc.words and set(enc.parts) == {"straße", "(", "##", ".", ",", "!!", "'s", "7"}
+    assert enc.by_parts and enc.plain.normalizer is None
+
+
+def test_new_parts_have_the_ids_of_the_whole_tokenizer():
+    enc = Encoder(PATH)
+    chars = [chr(c) for c in (*range(33, 127), *range(0xC0, 0x100)) if chr(c) not in "×÷"]
+    texts = chars + [a + b for a in chars for b in "'sté9!"] + ["'" * 5, "''s", "!'s'", "y'all'd've", "x" * 400, "ÀÉ" * 90, "<|end of text|>"]
+    assert [enc.encode([t])[0] for t in texts] == enc.ids(texts)
+    fresh = Encoder(PATH)
+    assert fresh.encode(texts) == enc.ids(texts) and fresh.parts == enc.parts
+    assert len(fresh.parts) > 300
