@@ -157,3 +157,45 @@ def test_similarity_join_deals_prefix_rows_once(spark, monkeypatch):
     assert len(some[0]) == 3 * 15 - 6 and some[0] == some[1] == some[2]
     plan = written["candidates"]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression") == 2 and "c#" not in plan  # the same one on both sides
+
+
+def test_similarity_join_moves_sources_not_sets(spark, monkeypatch):
+    """Compared sets are made again from what they come from; pairs are the same as of moved sets."""
+    from sievekit.functions import hashed_fingerprint, tokens
+    written, cut = {}, si.cut_lineage
+    monkeypatch.setattr(si, "cut_lineage", lambda df, *a: (written.update({a[0] if a else "": df}), cut(df, *a))[1])
+    rng = random.Random(8)
+    texts = [" ".join(f"w{k // 4}_{j if rng.random() < 0.99 else rng.random()}" for j in range(60)) for k in range(60)] + ["", None, "w0_1"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    df = with_fingerprint(docs, "text", "bits", 2, None)
+    moved = sorted(map(tuple, si.similarity_join(df, "doc_id", "bits", 0.7).collect()))
+    got = si.similarity_join(df, "doc_id", "bits", 0.7, source_col="text", from_source=lambda t: hashed_fingerprint(tokens(t), 2, None))
+    assert sorted(map(tuple, got.collect())) == moved and moved
+    plan = written["similarities"]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert max(k for k, x in enumerate(plan) if "ArrowEvalPython" in x or "PythonUDF" in x) < min(k for k, x in enumerate(plan) if "Join" in x)
+    rows = [(r["doc_id"], r["bits"]) for r in df.collect() if r["bits"]]
+    assert {(a, b): s for a, b, s, *_ in moved} == _brute_pairs(rows, 0.7)
+
+
+def test_similarity_join_drops_candidates_far_apart(spark, monkeypatch):
+    """Sets that share seldom elements but differ in most are no candidates, however frequent their pairs."""
+    written, cut = {}, si.cut_lineage
+    monkeypatch.setattr(si, "cut_lineage", lambda df, *a: (written.update({a[0] if a else "": b}), b)[1] if (b := cut(df, *a)) else None)
+    rows = [(k, sorted({1, 2, 3, *range(1000 * k + 10, 1000 * k + 200)} if k < 20 else {*range(90_000, 90_190), k})) for k in range(24)]
+    df = spark.createDataFrame(rows, "id bigint, bits array<bigint>")
+    got = {(r["id_a"], r["id_b"]): r["similarity"] for r in si.similarity_join(df, "id", "bits", 0.8).collect()}
+    assert got == _brute_pairs(rows, 0.8) and len(got) == 6 == written["candidates"].count()
+
+
+def test_parities_bound_the_difference_and_lone_elements_go(spark):
+    import numpy as np
+
+    from sievekit.plans.sketch import PARITY_WORDS, _parities, shared_slots, without_lone
+    rng = random.Random(2)
+    sets = [sorted(rng.sample(range(5000), rng.randint(0, 900))) for _ in range(30)] + [[]]
+    got = _parities(np.array([x for s in sets for x in s], np.int64), np.array([len(s) for s in sets])).reshape(-1, PARITY_WORDS)
+    apart = lambda a, b: sum((int(x) & 0xFFFFFFFFFFFFFFFF).bit_count() for x in got[a] ^ got[b])
+    assert all(apart(a, b) <= len(set(sets[a]) ^ set(sets[b])) for a in range(31) for b in range(31)) and apart(0, 0) == 0
+    df = spark.createDataFrame([(1, [1, 2, 3], [7, 8, 9]), (2, [1, 2], [9, 5]), (3, [], []), (4, [4], [7])], "id int, pos array<int>, tok array<int>").repartition(3)
+    left = {r["id"]: (r["pos"], r["tok"]) for r in without_lone(df, shared_slots(df, "tok", 6)).collect()}
+    assert left == {1: ([1, 3], [7, 9]), 2: ([1], [9]), 3: ([], []), 4: ([4], [7])}
