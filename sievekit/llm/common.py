@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievekit.session import clear_scratch, scratch_path
+from sievekit.session import bound_batches, clear_scratch, scratch_path
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,20 +37,6 @@ def discard(df: DataFrame) -> None:
     clear_scratch(df.sparkSession, [df.scratch])
 
 
-#: Bytes of an Arrow batch between Spark and its Python workers.
-MOST_BATCH = 8 << 20
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most ``MOST_BATCH`` bytes for this session from now on,
-    unless a smaller bound is set: the default takes up to ten thousand whole
-    texts, which Spark and its worker hold several times over."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(name).removesuffix("b")
-    if not now.isdigit() or not 0 < int(now) <= MOST_BATCH:
-        spark.conf.set(name, str(MOST_BATCH))
-
-
 _HELD: dict = {}
 
 

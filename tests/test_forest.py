@@ -119,3 +119,16 @@ def test_splits_follow_shares_of_the_rows():
     assert fo.split_points(np.array([1.0, 2.0, 4.0]), np.array([1, 1, 1]), 32).tolist() == [1.5, 3.0]
     assert fo.split_points(np.arange(100.0), np.ones(100), 4).tolist() == [24.5, 49.5, 74.5]
     assert [fo.subset_size(s, 2055, 50) for s in ("sqrt", "log2", "all", "auto", "7", "0.5", "onethird")] == [46, 12, 2055, 46, 7, 1028, 685]
+
+
+def test_features_go_to_workers_in_bounded_batches(spark):
+    """Ten thousand whole texts and their tokens at once take most of an executor."""
+    from sievekit.operators import fingerprints as fpo
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        fpo.feature_batch(spark.createDataFrame([(1, "a b c")], "id int, text string"), "text")
+        assert int(spark.conf.get(name).removesuffix("b")) == 8 << 20
+    finally:
+        spark.conf.set(name, before)
